@@ -8,10 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumentide.llm import source_mixing, token_counts, topk_search
+from lumentide.llm import decontamination, ngram_join, source_mixing, token_counts, topk_search, toxicity
 from lumentide.llm.common import table
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -24,10 +33,17 @@ def op9_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_search.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_ngram_join": op4_ngram_join,
+    "op5_toxicity": op5_toxicity,
     "op6_token_counts": op6_token_counts,
     "op8_source_mixing": op8_source_mixing,
     "op9_topk_search": op9_topk_search,
+    "op10_decontamination": op10_decontamination,
 }
 
 ORACLE: dict[str, str] = {
