@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumentide.llm import decontamination, ngram_join, source_mixing, token_counts, topk_search, toxicity
+from lumentide.llm import decontamination, html_extraction, ngram_join, source_mixing, token_counts, topk_search, toxicity
 from lumentide.llm.common import table
 
 
@@ -25,6 +25,10 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.extract(table(spark, sf_dir, "pages"))
+
+
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_mixing.mix_sources(table(spark, sf_dir, "documents"))
 
@@ -41,6 +45,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_ngram_join": op4_ngram_join,
     "op5_toxicity": op5_toxicity,
     "op6_token_counts": op6_token_counts,
+    "op7_html_extraction": op7_html_extraction,
     "op8_source_mixing": op8_source_mixing,
     "op9_topk_search": op9_topk_search,
     "op10_decontamination": op10_decontamination,
