@@ -8,10 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumentide.llm import decontamination, html_extraction, ngram_join, source_mixing, token_counts, topk_search, toxicity
+from lumentide.llm import decontamination, html_extraction, line_dedup, ngram_join, source_mixing, token_counts, topk_search, toxicity
 from lumentide.llm.common import table
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.fuzzy_lines(table(spark, sf_dir, "documents"))
+
+
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -42,6 +46,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_dedup": op1_line_dedup,
     "op4_ngram_join": op4_ngram_join,
     "op5_toxicity": op5_toxicity,
     "op6_token_counts": op6_token_counts,
