@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumentide.llm import decontamination, html_extraction, line_dedup, ngram_join, source_mixing, token_counts, topk_search, toxicity
+from lumentide.llm import chat_format, decontamination, html_extraction, line_dedup, ngram_join, source_mixing, token_counts, topk_search, toxicity
 from lumentide.llm.common import table
 
 
@@ -16,6 +16,12 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.fuzzy_lines(table(spark, sf_dir, "documents"))
 
 
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = chat_format.transcripts(table(spark, sf_dir, "conversations"))
+    model = chat_format.train(parts.where(F.crc32(F.col("conv").cast("binary")) % 5 != 0))
+    return chat_format.parse_transcripts(parts, model)
+
+
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -47,6 +53,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_chat_format": op2_chat_format,
     "op4_ngram_join": op4_ngram_join,
     "op5_toxicity": op5_toxicity,
     "op6_token_counts": op6_token_counts,
