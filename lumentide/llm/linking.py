@@ -13,8 +13,8 @@ from lumentide.llm.common import Scratch
 
 #: A key with more nodes than this pairs them with pivots, a few in each round.
 SMALL = 16
-#: Pivots of a large key in each round after the first.
-PIVOTS = 8
+#: Pivots of a large key in each round after the first; of one with fewer members than MIDDLING, all are.
+PIVOTS, MIDDLING = 32, 64
 
 
 def connected_components(edges: DataFrame, scratch: Scratch) -> DataFrame:
@@ -124,13 +124,15 @@ def linked_components(rows: DataFrame, check: Callable[[DataFrame], DataFrame],
         return parts
     while True:
         placed = members.join(parts, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
-        open_keys = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
-        placed = scratch.write(placed.join(open_keys, "key", "left_semi"))
+        open_keys = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")).where("low <> high").select("key", "n")
+        placed = scratch.write(placed.join(open_keys, "key"))
         if not placed.limit(1).count():
             return parts
-        pivots = placed.groupBy("key", F.pmod(F.xxhash64("node"), F.lit(PIVOTS)).alias("slot")).agg(F.min(F.struct("node", "component")).alias("p"))
-        pivots = scratch.write(pivots.select("key", F.col("p.node").alias("pivot"), F.col("p.component").alias("home")))
+        slot = F.when(F.col("n") < MIDDLING, F.col("node")).otherwise(F.pmod(F.xxhash64("node"), F.lit(PIVOTS)))
+        pivots = placed.groupBy("key", slot.alias("slot")).agg(F.min("node").alias("pivot"), F.min_by("component", "node").alias("home"))
+        pivots = scratch.write(pivots.select("key", "pivot", "home"))
         pairs = placed.join(pivots, "key").where("component <> home").select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
         every = every.unionByName(scratch.write(check(pairs)))
         parts = connected_components(every, scratch)
-        members = scratch.write(placed.select("key", "node").join(pivots.select("key", F.col("pivot").alias("node")), ["key", "node"], "left_anti"))
+        left = placed.where(F.col("n") >= MIDDLING).select("key", "node")
+        members = scratch.write(left.join(pivots.select("key", F.col("pivot").alias("node")), ["key", "node"], "left_anti"))

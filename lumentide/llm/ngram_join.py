@@ -38,9 +38,9 @@ WIDTH = 5
 SIMILAR = 75
 #: Shingles held to be frequent: seen so often, at most so many (the most frequent first).
 #: They only order sketch words; any choice gives the same links.
-FREQUENT, MOST_FREQUENT = 64, 131_072
+FREQUENT, MOST_FREQUENT = 16, 262_144
 #: A task reports shingles that it sees so often among so many.
-LOCAL_TIMES, LOCAL_SHINGLES = 3, 1 << 22
+LOCAL_TIMES, LOCAL_SHINGLES = 2, 1 << 22
 #: Sets that a task remembers, so as to sketch equal ones once.
 REMEMBERED = 500_000
 _C = mix64(np.arange(101, 105, dtype=np.uint64))
