@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumentide.llm import chat_format, decontamination, html_extraction, line_dedup, ngram_join, source_mixing, token_counts, topk_search, toxicity
+from lumentide.llm import chat_format, decontamination, html_extraction, line_dedup, ngram_join, pii, source_mixing, token_counts, topk_search, toxicity
 from lumentide.llm.common import table
 
 
@@ -22,6 +22,10 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.parse_transcripts(parts, model)
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -51,9 +55,16 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_chat_format": op2_chat_format,
+    "op3_pii": op3_pii,
     "op4_ngram_join": op4_ngram_join,
     "op5_toxicity": op5_toxicity,
     "op6_token_counts": op6_token_counts,
@@ -61,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_source_mixing": op8_source_mixing,
     "op9_topk_search": op9_topk_search,
     "op10_decontamination": op10_decontamination,
+    "pipeline": pipeline,
 }
 
 ORACLE: dict[str, str] = {
