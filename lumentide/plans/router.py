@@ -11,6 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lumentide.operators.boundaries import bucket_metrics
 from lumentide.policy import BITS, GROUPINGS, TIER_MASKS
 
 
@@ -72,6 +73,16 @@ def kpi(rows: DataFrame, low: int, high: int) -> DataFrame:
     )
 
 
+def served_range(tier: DataFrame, levels: DataFrame, low: int, high: int, size: int, exact: bool = False) -> DataFrame:
+    """route, peak, avg_concurrency over [low, high): from the total's tier if the range is of whole buckets, else from the curve."""
+    if exact or low % size or high % size:
+        route, rows = "exact", bucket_metrics(levels, low, high, size)
+    else:
+        route, rows = "tier", tier.where((F.col("bucket_ms") >= low) & (F.col("bucket_ms") < high))
+    out = rows.agg(F.coalesce(F.max("peak"), F.lit(0)).alias("peak"), F.round(F.coalesce(F.sum("active_ms"), F.lit(0)) / max(high - low, 1), 6).alias("avg_concurrency"))
+    return out.select(F.lit(route).alias("route"), "peak", "avg_concurrency")
+
+
 def filter_support(spark: SparkSession, masks: tuple[int, ...] = TIER_MASKS) -> DataFrame:
     """For each combination of the four filters: the rollup that serves it, and whether there is one."""
     m = F.col("id").cast("int")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lumentide.functions import scalars as S
-from lumentide.operators import boundaries, corrections, sessions, tiers
+from lumentide.operators import boundaries, corrections, tiers
 from lumentide.operators.boundaries import KEYS
 from lumentide.plans import gates, guard, profile, registry, router
 from lumentide.plans.registry import CURVE0, DAYS_BACK, EVENTS, KEY_SQL, SESSIONS, Model, _points, _rollup, _tier, query
@@ -51,9 +51,9 @@ def panel_platform_country(m: Model) -> DataFrame:
     return router.panel(m.tier(), *_week(m), ("platform", "country"))
 
 
-@query(_panel_sql("", "country", 15, peak="CAST(NULL AS BIGINT)", where="content_id = 7"))
+@query(_panel_sql("", "country", 15, peak="CAST(NULL AS BIGINT)", where="content_id < 20").replace("20::BIGINT", "90::BIGINT").replace("content_id < 20", "content_id = 16"))
 def panel_peak_withheld(m: Model) -> DataFrame:
-    return router.panel(m.tier(), *_week(m), ("country",), {"content_id": 7, "platform": "*"})
+    return router.panel(m.tier(), m.day(90), m.day(13), ("country",), {"content_id": 16, "platform": "*"})
 
 
 @query(_panel_sql("", "bucket_ms", 1, where="platform = 'BUILDING'", length="3600000"))
@@ -154,6 +154,66 @@ def paging(m: Model) -> DataFrame:
     return router.page(m.tier((0, 1)).select(*KEYS, "bucket_ms", "active_ms"), (F.col("active_ms").desc(), "rollup_mask", "platform", "bucket_ms"), 30, 20)
 
 
+@query(SESSIONS + CURVE0 + WEEK + ", x AS (SELECT max(level) AS peak, CAST(sum(level * (least(end_ms, hi) - greatest(start_ms, lo))) AS BIGINT) AS active_ms, any_value(hi - lo) AS len FROM s0, w WHERE start_ms < hi AND end_ms > lo) SELECT 'tier' AS route, peak, round(active_ms / len, 6) AS avg_concurrency FROM x UNION ALL SELECT 'exact', peak, round(active_ms / len, 6) FROM x")
+def served_range(m: Model) -> DataFrame:
+    low, high = _week(m)
+    return router.served_range(m.tier((0,)), m.levels(), low, high, HOUR).unionByName(router.served_range(m.tier((0,)), m.levels(), low, high, HOUR, exact=True))
+
+
+@query(_tier((0,)) + " SELECT bucket_ms, peak, round(active_ms / 3600000, 6) AS avg_concurrency FROM tier ORDER BY bucket_ms DESC LIMIT 1")
+def tile_concurrent_now(m: Model) -> DataFrame:
+    return router.page(m.tier((0,)).select("bucket_ms", "peak", F.round(F.col("active_ms") / HOUR, 6).alias("avg_concurrency")), (F.col("bucket_ms").desc(),), 1)
+
+
+@query(_tier((4,)) + WEEK + f", tp AS (SELECT content_id FROM tier, w WHERE {IN_WEEK} GROUP BY 1 ORDER BY sum(active_ms) DESC, content_id LIMIT 8) SELECT bucket_ms, content_id, round(active_ms / 3600000, 6) AS avg_concurrency FROM tier, w WHERE {IN_WEEK} AND content_id IN (FROM tp)")
+def tile_top_series(m: Model) -> DataFrame:
+    low, high = _week(m)
+    rows = m.tier((4,)).where((F.col("bucket_ms") >= low) & (F.col("bucket_ms") < high))
+    top = router.page(rows.groupBy("content_id").agg(F.sum("active_ms").alias("ms")), (F.col("ms").desc(), "content_id"), 8)
+    return rows.join(top, "content_id", "left_semi").select("bucket_ms", "content_id", F.round(F.col("active_ms") / HOUR, 6).alias("avg_concurrency"))
+
+
+@query(_tier((0, 1, 2, 8)) + " SELECT CASE rollup_mask WHEN 0 THEN 'total' WHEN 1 THEN 'platform' WHEN 2 THEN 'country' ELSE 'video type' END AS grouping, bucket_ms - bucket_ms % 86400000 AS day_ms, count(DISTINCT platform || '/' || country || '/' || video_type) AS slices, max(peak) AS highest, CAST(sum(active_ms) AS BIGINT) AS active_ms FROM tier GROUP BY ALL")
+def tile_groupings_by_day(m: Model) -> DataFrame:
+    t = m.tier((0, 1, 2, 8))
+    name = F.concat_ws("/", "platform", "country", "video_type")
+    return t.groupBy(S.grouping(F.col("rollup_mask")).alias("grouping"), S.bucket(F.col("bucket_ms"), DAY).alias("day_ms")).agg(F.count_distinct(name).alias("slices"), F.max("peak").alias("highest"), F.sum("active_ms").alias("active_ms"))
+
+
+@query(SESSIONS + " SELECT h AS horizon_ms, as_of AS as_of_ms, (SELECT max(end_ms) FROM iv0) - h AS provisional_ms, (SELECT count(*) FROM iv0 WHERE end_ms > h) AS provisional FROM hz")
+def data_freshness(m: Model) -> DataFrame:
+    return m.bare.agg((F.max("end_ms") - m.horizon).alias("provisional_ms"), F.count_if(F.col("end_ms") > m.horizon).alias("provisional")).select(F.lit(m.horizon).alias("horizon_ms"), F.lit(m.as_of).alias("as_of_ms"), "provisional_ms", "provisional")
+
+
+@query(EVENTS + " SELECT event_ms - event_ms % 3600000 AS bucket_ms, round(count(*) / 3600.0, 6)::DOUBLE AS rows_a_second, count(DISTINCT session_key) AS dirtied, round(quantile_cont(row_version % 97, 0.5), 6) AS lag_p50, round(quantile_cont(row_version % 97, 0.99), 6) AS lag_p99 FROM ev WHERE row_version < 1000000000 GROUP BY 1")
+def ingest_observability(m: Model) -> DataFrame:
+    lag = F.col("row_version") % 97
+    rows = m.raw.where("row_version < 1000000000").groupBy(S.bucket(F.col("event_ms"), HOUR).alias("bucket_ms"))
+    return rows.agg(F.round(F.count("*") / 3600.0, 6).alias("rows_a_second"), F.count_distinct("session_key").alias("dirtied"), F.round(F.percentile(lag, F.lit(0.5)), 6).alias("lag_p50"), F.round(F.percentile(lag, F.lit(0.99)), 6).alias("lag_p99"))
+
+
+@query(EVENTS + " SELECT session_key, event_ms FROM dd WHERE event_ms > (SELECT max(event_ms) FROM dd) - 3 * 86400000")
+def retention(m: Model) -> DataFrame:
+    return corrections.retained(m.events.select("session_key", "event_ms"), "event_ms", m.horizon, 3 * DAY)
+
+
+@query("SELECT p_partkey AS content_id, p_name || ' (new)' AS title, 2 AS source_version FROM part WHERE p_partkey % 2 = 0 UNION ALL SELECT p_partkey, p_name, 1 FROM part WHERE p_partkey % 2 <> 0")
+def content_current(m: Model) -> DataFrame:
+    from lumentide.sources.readers import latest_content
+
+    first = m.contents.select("content_id", "title", F.lit(1).alias("source_version"))
+    second = first.where("content_id % 2 = 0").select("content_id", F.concat("title", F.lit(" (new)")).alias("title"), F.lit(2).alias("source_version"))
+    return latest_content(first.unionByName(second))
+
+
+@query(EVENTS + " SELECT * FROM (SELECT 'events' AS gate, count(*) AS actual FROM ev UNION ALL SELECT 'keys', count(*) FROM dd UNION ALL SELECT 'sessions', count(DISTINCT session_key) FROM dd UNION ALL SELECT 'starts', count(*) FROM dd WHERE signal = 'session_start' UNION ALL SELECT 'pings', count(*) FROM dd WHERE event IN ('network-activity', 'buffer-health', 'video-resize') UNION ALL SELECT 'null keys', count(*) FROM dd WHERE session_key IS NULL)")
+def verify_suite(m: Model) -> DataFrame:
+    e = m.events
+    n = F.count("*")
+    every = [gates.gate(m.raw, "events", n), gates.gate(e, "keys", n), gates.gate(e, "sessions", F.count_distinct("session_key")), gates.gate(e, "starts", F.count_if(F.col("signal") == "session_start")), gates.gate(e, "pings", F.count_if("is_periodic_ping")), gates.gate(e, "null keys", F.count_if(F.col("session_key").isNull()))]
+    return gates.union(every).drop("passed")
+
+
 # --- profile -------------------------------------------------------------------------------------
 
 
@@ -296,4 +356,4 @@ def set_intersect(m: Model) -> DataFrame:
     return m.table("supplier").select(F.col("s_nationkey").cast("long").alias("k")).intersect(m.table("customer").where("c_acctbal > 9000").select(F.col("c_nationkey").cast("long").alias("k")))
 
 
-__all__ = ["CURVE0", "registry", "sessions"]
+__all__ = ["registry"]
