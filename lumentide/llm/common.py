@@ -115,6 +115,19 @@ def long_list(values: np.ndarray, lengths: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.astype(np.int64, copy=False)))
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """The sorted distinct values; a sort, since hashing them is slower for sets of this size."""
+    values = np.sort(values)
+    return values[np.r_[True, values[1:] != values[:-1]]] if len(values) else values
+
+
+def common(a: np.ndarray, b: np.ndarray) -> int:
+    """Values that two sorted distinct arrays share: a stable sort merges the two runs."""
+    both = np.concatenate((a, b))
+    both.sort(kind="stable")
+    return int((both[1:] == both[:-1]).sum())
+
+
 # --- hashing -----------------------------------------------------------------------------------
 
 

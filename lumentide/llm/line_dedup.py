@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lumentide.llm.common import Scratch, long_list, mix64, semi_join
+from lumentide.llm.common import Scratch, common, distinct, long_list, mix64, semi_join
 from lumentide.llm.linking import linked_components
 from lumentide.llm.shingling import _power_tables
 
@@ -66,6 +66,21 @@ def _shingles(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return mix64(h[whole]), np.r_[0, np.cumsum(lengths - SHINGLE + 1)]
 
 
+def shingle_sets(lines: list[str]) -> list[np.ndarray]:
+    """The sorted distinct shingles of each line."""
+    out: list[np.ndarray] = []
+    i = 0
+    while i < len(lines):
+        j, size = i, 0
+        while j < len(lines) and (j == i or size + len(lines[j]) <= TOGETHER):
+            size += len(lines[j])
+            j += 1
+        h, starts = _shingles(lines[i:j])
+        out += [distinct(h[a:b]) for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True)]
+        i = j
+    return out
+
+
 def signatures(lines: list[str]) -> np.ndarray:
     """Band keys, a row of BANDS for each line."""
     h, starts = _shingles(lines)
@@ -139,28 +154,28 @@ def lines_of(docs: DataFrame, signed: bool) -> DataFrame:
     return docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), "text").mapInArrow(run, f"doc_id long, line_no int, h long, {last}")
 
 
-def check_lines(pairs: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """The pairs (a, b) of line hashes whose lines are alike."""
-    pairs = scratch.write(pairs)
-    involved = pairs.select(F.col("a").alias("h")).unionByName(pairs.select(F.col("b").alias("h"))).distinct()
-    lines = scratch.write(semi_join(lines_of(docs, False).select("h", "line"), involved, "h").groupBy("h").agg(F.first("line").alias("line")))
-    both = pairs.join(lines.select(F.col("h").alias("a"), F.col("line").alias("line_a")), "a").join(lines.select(F.col("h").alias("b"), F.col("line").alias("line_b")), "b")
+def lines_of_nodes(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """node, line: the lines whose hash is a node."""
+    lines = lines_of(docs, False).select(F.col("h").alias("node"), "line")
+    return semi_join(lines, nodes, "node").groupBy("node").agg(F.first("line").alias("line"))
+
+
+def check_lines(pairs: DataFrame, lines: DataFrame) -> DataFrame:
+    """The pairs (a, b) of nodes whose lines (node, line) are alike."""
+    both = pairs.join(lines.select(F.col("node").alias("a"), F.col("line").alias("line_a")), "a").join(lines.select(F.col("node").alias("b"), F.col("line").alias("line_b")), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sides = []
             for column in (batch.column(2), batch.column(3)):
                 encoded = column.dictionary_encode()
-                sets = []
-                for line in encoded.dictionary.to_pylist():
-                    sets.append(np.unique(_shingles([line])[0]))
-                sides.append((encoded.indices.to_numpy(), sets))
+                sides.append((encoded.indices.to_numpy(), shingle_sets(encoded.dictionary.to_pylist())))
             keep = np.zeros(len(batch.column(0)), bool)
             for i, (x, y) in enumerate(zip(sides[0][0].tolist(), sides[1][0].tolist(), strict=True)):
                 p, q = sides[0][1][x], sides[1][1][y]
                 if min(len(p), len(q)) * 100 >= SIMILAR * max(len(p), len(q)):
-                    common = len(p) + len(q) - len(np.unique(np.concatenate((p, q))))
-                    keep[i] = 100 * common >= SIMILAR * (len(p) + len(q) - common)
+                    both = common(p, q)
+                    keep[i] = 100 * both >= SIMILAR * (len(p) + len(q) - both)
             mask = pa.array(keep)
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], names=["a", "b"])
 
@@ -175,7 +190,7 @@ def fuzzy_lines(docs: DataFrame) -> DataFrame:
     scratch = Scratch(docs.sparkSession, "lines")
     made = scratch.write(lines_of(docs, True))
     keys = made.select(F.explode("bands").alias("key"), F.col("h").alias("node"))
-    parts = linked_components(keys, lambda pairs: check_lines(pairs, docs, scratch), scratch).withColumnRenamed("node", "h")
+    parts = linked_components(keys, lambda nodes: lines_of_nodes(docs, nodes), check_lines, scratch).withColumnRenamed("node", "h")
     placed = scratch.write(made.select("doc_id", "line_no", "h").distinct().join(parts, "h", "left").select("doc_id", "line_no", F.coalesce("component", "h").alias("component")))
     # the first line of each component, in two steps that aggregate longs
     first = placed.groupBy("component").agg(F.min("doc_id").alias("class_doc"))

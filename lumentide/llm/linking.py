@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 from lumentide.llm.common import Scratch
 
 #: A key with more nodes than this pairs them with pivots, a few in each round.
-SMALL = 16
-#: Pivots of a large key in each round after the first; of one with fewer members than MIDDLING, all are.
-PIVOTS, MIDDLING = 32, 64
+SMALL = 4
+#: Rounds in which members outside their key's main component are checked against so many of its members,
+#: and how many of those left outside are then checked against all others in one round.
+PROBE_ROUNDS, PROBES, PIVOTS = 2, 8, 64
 
 
 def connected_components(edges: DataFrame, scratch: Scratch) -> DataFrame:
@@ -25,22 +26,35 @@ def connected_components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     nodes; each is written out, and the number of steps grows with the logarithm of the input.
     """
     now = scratch.write(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    seen = None
     while True:
-        state = now.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x")).first()
-        if not state["n"] or seen == (state["n"], state["x"]):
-            return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
-        seen = (state["n"], state["x"])
+        # done once no node points at two, or at one that points on
+        ends = now.select(F.col("u").alias("x"), F.lit(1).alias("out"), F.lit(0).alias("into")).unionByName(now.select(F.col("v").alias("x"), F.lit(0).alias("out"), F.lit(1).alias("into")))
+        open_nodes = ends.groupBy("x").agg(F.sum("out").alias("out"), F.max("into").alias("into")).where("out > 1 or out = 1 and into = 1")
+        if not open_nodes.limit(1).count():
+            out = now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+            return scratch.write(out)
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = scratch.write(both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")))
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         after = scratch.write(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct())
-        scratch.drop(now)
+        scratch.drop(now, large)
         now = after
 
 
+def merged(parts: DataFrame, edges: DataFrame, scratch: Scratch) -> DataFrame:
+    """parts (node, component) after further edges (a, b): only the components that these touch are joined anew."""
+    ends = edges
+    for side in ("a", "b"):
+        home = parts.select(F.col("node").alias(side), F.col("component").alias("home"))
+        ends = ends.join(home, side, "left").withColumn(side, F.coalesce("home", side)).drop("home")
+    moves = connected_components(ends, scratch).select(F.col("node").alias("component"), F.col("component").alias("to"))
+    old = parts.join(moves, "component", "left").select("node", F.coalesce("to", "component").alias("component"))
+    fresh = moves.select(F.col("component").alias("node"), F.col("to").alias("component")).join(parts, "node", "left_anti")
+    return scratch.write(old.unionByName(fresh))
+
+
 def bucket_pairs(rows: DataFrame, small: int = SMALL) -> DataFrame:
     """a < b, and for large keys their key: pairs of nodes that share a key.
 
@@ -107,32 +121,52 @@ def bucket_pairs(rows: DataFrame, small: int = SMALL) -> DataFrame:
     return rows.select("key", "node").repartition("key").sortWithinPartitions("key", "node").mapInArrow(run, "key long, a long, b long")
 
 
-def linked_components(rows: DataFrame, check: Callable[[DataFrame], DataFrame], scratch: Scratch, known: DataFrame | None = None, small: int = SMALL) -> DataFrame:
-    """node, component over the pairs that share a key and that ``check`` (pairs a, b -> those linked) confirms, and over ``known`` links.
+def linked_components(rows: DataFrame, load: Callable[[DataFrame], DataFrame], check: Callable[[DataFrame, DataFrame], DataFrame], scratch: Scratch, known: DataFrame | None = None, small: int = SMALL) -> DataFrame:
+    """node, component over the pairs that share a key and that are confirmed, and over ``known`` links.
+
+    load: nodes (node) -> what is compared of them, read once; check: pairs (a, b) and that -> the pairs that are linked.
 
     Exact as to components: every pair that shares a key is either checked or already connected.
-    A large key takes rounds: its members are checked against a few pivots, which then leave it;
-    it is done once its members are in one component or all have been pivots.
+    Of a large key only members outside its main component can bring a new link.  Most of those
+    of a group of near copies link to one of a few members of that component, which probe first.
+    Those still outside are pivots: each is checked against all members of other components and
+    then leaves the key.  A key with up to PIVOTS of them is done in one round, one with more
+    takes several.  Keys with the same members count once.
     """
     made = scratch.write(bucket_pairs(rows, small))
-    every = scratch.write(check(made.select("a", "b").distinct()))
+    pairs = scratch.write(made.select("a", "b").distinct())
+    loaded = scratch.write(load(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()))
+    every = scratch.write(check(pairs, loaded))
     if known is not None:
         every = every.unionByName(known)
     parts = connected_components(every, scratch)
     members = made.where("key is not null").select("key", F.col("b").alias("node"))
     if not members.limit(1).count():
         return parts
+    alike = members.groupBy("key").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("x"), F.sum(F.pmod(F.xxhash64("node", F.lit(1)), F.lit(1 << 40))).alias("s"))
+    members = scratch.write(members.join(alike.groupBy("n", "x", "s").agg(F.min("key").alias("key")).select("key"), "key", "left_semi"))
+    probed = 0
     while True:
         placed = members.join(parts, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
-        open_keys = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")).where("low <> high").select("key", "n")
-        placed = scratch.write(placed.join(open_keys, "key"))
+        sizes = placed.groupBy("key", "component").agg(F.count("*").alias("c"))
+        mains = sizes.groupBy("key").agg(F.max_by("component", F.struct("c", "component")).alias("main"), F.count("*").alias("parts"), (F.sum("c") - F.max("c")).alias("outside")).where("parts > 1")
+        placed = scratch.write(placed.join(mains, "key").drop("parts"))
         if not placed.limit(1).count():
             return parts
-        slot = F.when(F.col("n") < MIDDLING, F.col("node")).otherwise(F.pmod(F.xxhash64("node"), F.lit(PIVOTS)))
-        pivots = placed.groupBy("key", slot.alias("slot")).agg(F.min("node").alias("pivot"), F.min_by("component", "node").alias("home"))
-        pivots = scratch.write(pivots.select("key", "pivot", "home"))
-        pairs = placed.join(pivots, "key").where("component <> home").select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
-        every = every.unionByName(scratch.write(check(pairs)))
-        parts = connected_components(every, scratch)
-        left = placed.where(F.col("n") >= MIDDLING).select("key", "node")
-        members = scratch.write(left.join(pivots.select("key", F.col("pivot").alias("node")), ["key", "node"], "left_anti"))
+        outside = placed.where("component <> main")
+        if probed < PROBE_ROUNDS:
+            slot = F.pmod(F.xxhash64("node", F.lit(probed)), F.lit(PROBES))
+            probes = placed.where("component = main").groupBy("key", slot.alias("slot")).agg(F.min("node").alias("pivot")).select("key", "pivot")
+            pairs = outside.join(probes, "key")
+        else:
+            slot = F.when(F.col("outside") <= PIVOTS, F.col("node")).otherwise(F.pmod(F.xxhash64("node"), F.lit(PIVOTS)))
+            pivots = outside.groupBy("key", slot.alias("slot")).agg(F.min("node").alias("pivot"), F.min_by("component", "node").alias("home"))
+            pivots = scratch.write(pivots.select("key", "pivot", "home"))
+            pairs = placed.join(pivots, "key").where("component <> home")
+            left = placed.where(F.col("outside") > PIVOTS).select("key", "node")
+            members = scratch.write(left.join(pivots.select("key", F.col("pivot").alias("node")), ["key", "node"], "left_anti"))
+        probed += 1
+        pairs = pairs.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
+        found = scratch.write(check(pairs, loaded))
+        if found.limit(1).count():
+            parts = merged(parts, found, scratch)

@@ -12,8 +12,8 @@ it can have to a partner, it is enough that it shows the first d + 1 of its non-
 words in an order that all documents share: of two linked documents the first word that they
 have in common is among those of both.  That needs more than d non-empty words; a document
 with fewer also shows a sketch of four times as many words, and so on, until each shingle
-stands alone.  Words made of very frequent shingles alone come last in the order, so a passage
-that many documents share brings no candidates.  Candidates are checked exactly, and large
+stands alone.  The order goes by how frequent a word's rarest shingle is, the frequent ones last,
+so a passage that many documents share brings few candidates.  Candidates are checked exactly, and large
 groups of them by pivots (``linking``), so no link is lost and no group is expanded into pairs.
 
 Semantics: a null or empty text has an empty set and links with nothing; a null doc_id keeps
@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lumentide.llm.common import Scratch, long_list, mix64, semi_join, utf8_parts
+from lumentide.llm.common import Scratch, common, distinct, long_list, mix64, semi_join, utf8_parts
 from lumentide.llm.linking import linked_components
 from lumentide.llm.shingling import shingle_hashes
 
@@ -46,8 +46,8 @@ REMEMBERED = 500_000
 _C = mix64(np.arange(101, 105, dtype=np.uint64))
 
 
-def frequent_shingles(texts: DataFrame, width: int = WIDTH) -> np.ndarray:
-    """Sorted hashes of frequent shingles: local counts in a task, summed in Spark; bounded by MOST_FREQUENT."""
+def frequent_shingles(texts: DataFrame, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes of frequent shingles and the magnitude of each: local counts in a task, summed in Spark; bounded by MOST_FREQUENT."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
@@ -68,8 +68,10 @@ def frequent_shingles(texts: DataFrame, width: int = WIDTH) -> np.ndarray:
             yield counted()
 
     counts = texts.mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= FREQUENT)
-    got = counts.orderBy(F.col("n").desc(), "h").limit(MOST_FREQUENT).select("h").toArrow()["h"].to_numpy()
-    return np.sort(got.view(np.uint64))
+    got = counts.orderBy(F.col("n").desc(), "h").limit(MOST_FREQUENT).toArrow()
+    hashes = got["h"].to_numpy().view(np.uint64)
+    order = np.argsort(hashes)
+    return hashes[order], np.minimum(2 * np.log2(np.maximum(got["n"].to_numpy()[order], 1)), 63).astype(np.uint8)
 
 
 def sketch_words(sets: np.ndarray, frequent: np.ndarray, band: int, d: int) -> list[np.ndarray]:
@@ -85,8 +87,8 @@ def sketch_words(sets: np.ndarray, frequent: np.ndarray, band: int, d: int) -> l
             name = mix64(sorted_block[starts] * _C[1] + np.uint64(64 * band + level) * _C[2])
         words = mix64(np.bitwise_xor.reduceat(values[order], starts) ^ name)
         if len(words) > d + 1:
-            last = np.logical_and.reduceat(frequent[order], starts).astype(np.uint64) << np.uint64(63)
-            out.append(words[np.argpartition((words >> np.uint64(1)) | last, d)[: d + 1]])
+            late = np.minimum.reduceat(frequent[order], starts).astype(np.uint64) << np.uint64(58)
+            out.append(words[np.argpartition((words >> np.uint64(6)) | late, d)[: d + 1]])
         else:
             out.append(words)
         if len(words) > d or k >= 1 << 50:
@@ -106,17 +108,17 @@ def shown_words(sets: np.ndarray, frequent: np.ndarray, similar: int = SIMILAR)
     return np.concatenate(out)
 
 
-def sketches(docs: DataFrame, frequent: np.ndarray, width: int = WIDTH, similar: int = SIMILAR) -> DataFrame:
+def sketches(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], width: int = WIDTH, similar: int = SIMILAR) -> DataFrame:
     """doc_id, n, h1, h2 (together the set's identity) and words, which are left out if the task has shown an equal set."""
     sent = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: set[tuple[int, int]] = set()
-        heavy = sent.value
+        heavy, magnitude = sent.value
         for batch in batches:
             n, h1, h2, words, lengths = [], [], [], [], []
             for s in shingle_hashes(*utf8_parts(batch.column(1)), width):
-                u = np.unique(s)
+                u = distinct(s)
                 n.append(len(u))
                 with np.errstate(over="ignore"):
                     one, two = mix64(u).sum(dtype=np.uint64), np.bitwise_xor.reduce(mix64(u ^ _C[3]))
@@ -127,9 +129,10 @@ def sketches(docs: DataFrame, frequent: np.ndarray, width: int = WIDTH, similar:
                     if len(known) >= REMEMBERED:
                         known.clear()
                     known.add((h1[-1], h2[-1]))
-                    often = np.zeros(len(u), bool)
+                    often = np.zeros(len(u), np.uint8)
                     if len(heavy):
-                        often = heavy[np.minimum(np.searchsorted(heavy, u), len(heavy) - 1)] == u
+                        at = np.minimum(np.searchsorted(heavy, u), len(heavy) - 1)
+                        often = np.where(heavy[at] == u, magnitude[at], np.uint8(0))
                     w = shown_words(u, often, similar)
                 words.append(w)
                 lengths.append(len(w))
@@ -140,12 +143,9 @@ def sketches(docs: DataFrame, frequent: np.ndarray, width: int = WIDTH, similar:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n long, h1 long, h2 long, words array<long>")
 
 
-def check_pairs(pairs: DataFrame, texts: DataFrame, scratch: Scratch, width: int = WIDTH, similar: int = SIMILAR) -> DataFrame:
-    """The pairs (a, b) of ids whose texts (id, text) have similar sets."""
-    pairs = scratch.write(pairs)
-    involved = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    texts = scratch.write(semi_join(texts, involved, "id"))
-    both = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a").join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
+def check_pairs(pairs: DataFrame, texts: DataFrame, width: int = WIDTH, similar: int = SIMILAR) -> DataFrame:
+    """The pairs (a, b) of nodes whose texts (node, text) have similar sets."""
+    both = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a").join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -153,15 +153,15 @@ def check_pairs(pairs: DataFrame, texts: DataFrame, scratch: Scratch, width: int
             sides = []
             for ids, column in ((a, batch.column(2)), (b, batch.column(3))):
                 encoded = column.dictionary_encode()  # a pivot's text is hashed once a batch
-                sets = [np.unique(s) for s in shingle_hashes(*utf8_parts(encoded.dictionary), width)]
+                sets = [distinct(s) for s in shingle_hashes(*utf8_parts(encoded.dictionary), width)]
                 sides.append((encoded.indices.to_numpy(), sets))
             keep = np.zeros(len(a), bool)
             for i, (x, y) in enumerate(zip(sides[0][0].tolist(), sides[1][0].tolist(), strict=True)):
                 p, q = sides[0][1][x], sides[1][1][y]
                 if min(len(p), len(q)) * 100 < similar * max(len(p), len(q)) or not len(p):
                     continue
-                common = len(p) + len(q) - len(np.unique(np.concatenate((p, q))))
-                keep[i] = 100 * common >= similar * (len(p) + len(q) - common)
+                both = common(p, q)
+                keep[i] = 100 * both >= similar * (len(p) + len(q) - both)
             yield pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep])], names=["a", "b"])
 
     return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
@@ -181,9 +181,12 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, similar: int = SIMILAR)
     copies = real.groupBy("h1", "h2").agg(F.min("doc_id").alias("first"), F.count("*").alias("c")).where("c > 1").select("h1", "h2", "first")
     copies = real.select("doc_id", "h1", "h2").join(copies, ["h1", "h2"]).select(F.col("first").alias("a"), F.col("doc_id").alias("b")).where("a <> b").distinct()
 
-    def check(pairs: DataFrame) -> DataFrame:
-        return check_pairs(pairs, docs.select(F.col("doc_id").alias("id"), "text").where("id is not null"), scratch, width, similar).distinct()
+    def load(nodes: DataFrame) -> DataFrame:
+        return semi_join(docs.select(F.col("doc_id").alias("node"), "text"), nodes, "node")
+
+    def check(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+        return check_pairs(pairs, texts, width, similar).distinct()
 
     keys = real.select(F.explode("words").alias("key"), F.col("doc_id").alias("node"))
-    parts = linked_components(keys, check, scratch, scratch.write(copies)).withColumnRenamed("node", "doc_id")
+    parts = linked_components(keys, load, check, scratch, scratch.write(copies)).withColumnRenamed("node", "doc_id")
     return made.select("doc_id", F.col("n").alias("n_shingles")).join(parts, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
