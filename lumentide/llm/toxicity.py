@@ -31,9 +31,9 @@ from lumentide.llm.shingling import PIECE, _power_tables
 #: Bounds of the samples that the classifier is fitted on.
 MOST_POSITIVES, MOST_UNLABELLED = 4_000, 12_000
 BUCKET_BITS = 20
-FEATURES = 256
+FEATURES = 512
 #: A feature is kept if so many positives have it, with so high a z score against the unlabelled.
-LEAST_POSITIVES, LEAST_Z = 5, 6.0
+LEAST_POSITIVES, LEAST_Z = 4, 4.0
 #: Lengths in bytes of the word beginnings that are features of longer words.
 BEGINNINGS = (3, 4, 5, 6, 7, 8, 10)
 STEPS, RATE, DECAY = 300, 0.05, 1.5e-3
