@@ -10,9 +10,11 @@ union-find, and of each component the first line (by doc_id, then line number) s
 Equal lines meet by the hash of the line (64 bits), so a task signs each line once and repeated
 lines are rows of a count, not pairs.
 
-Semantics: lines with fewer than ``LEAST`` characters, as compared, take no part and always
-stay, as do rows without doc_id; null and empty texts have no lines; rows that repeat a doc_id
-are one document.
+A line shorter than a shingle is one shingle, the whole line, which no longer line holds.
+
+Semantics: lines with fewer than ``least`` characters, as compared, take no part and always
+stay, as do rows without doc_id (the query takes every line that is not empty); null and empty
+texts have no lines; rows that repeat a doc_id are one document.
 """
 
 from __future__ import annotations
@@ -32,7 +34,10 @@ from lumentide.llm.shingling import _power_tables
 SHINGLE = 8
 #: Lines are alike if 100 * intersection >= SIMILAR * union.
 SIMILAR = 75
+#: What ``least`` is where a caller names none.
 LEAST = 20
+#: Fills a line up to SHINGLE characters: a lone surrogate, which no text of a table holds.
+FILL = "\udfff"
 #: At a similarity of 0.75 a band of four agrees with odds 0.32, one of twelve with odds 0.99.
 BANDS, ROWS = 12, 4
 #: Characters hashed together, and lines that a task remembers to have signed.
@@ -51,7 +56,8 @@ def line_hash(line: str) -> int:
 
 
 def _shingles(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the shingles of lines of at least SHINGLE characters, and where each line's begin."""
+    """Hashes of the shingles of lines that are not empty, and where each line's begin."""
+    lines = [x if len(x) >= SHINGLE else x.ljust(SHINGLE, FILL) for x in lines]
     text = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32)
     lengths = np.fromiter(map(len, lines), np.int64, len(lines))
     power, inverse = _power_tables(len(text) + 1)
@@ -100,7 +106,7 @@ def signatures(lines: list[str]) -> np.ndarray:
     return out
 
 
-def lines_of(docs: DataFrame, signed: bool) -> DataFrame:
+def lines_of(docs: DataFrame, signed: bool, least: int = LEAST) -> DataFrame:
     """doc_id, line_no, h, and the line's bands (none if the task has signed it) or, not signed, its text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,7 +135,7 @@ def lines_of(docs: DataFrame, signed: bool) -> DataFrame:
                     continue
                 for n, raw in enumerate(text.split("\n")):
                     line = normal(raw)
-                    if len(line) < LEAST:
+                    if len(line) < max(least, 1):
                         continue
                     h = line_hash(line)
                     if h not in known:
@@ -137,7 +143,7 @@ def lines_of(docs: DataFrame, signed: bool) -> DataFrame:
                             known.clear()
                         known.add(h)
                         new.append(len(texts))
-                        size += len(line)
+                        size += max(len(line), SHINGLE)
                     elif not signed:
                         continue
                     doc.append(i)
@@ -154,9 +160,9 @@ def lines_of(docs: DataFrame, signed: bool) -> DataFrame:
     return docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), "text").mapInArrow(run, f"doc_id long, line_no int, h long, {last}")
 
 
-def lines_of_nodes(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+def lines_of_nodes(docs: DataFrame, nodes: DataFrame, least: int = LEAST) -> DataFrame:
     """node, line: the lines whose hash is a node."""
-    lines = lines_of(docs, False).select(F.col("h").alias("node"), "line")
+    lines = lines_of(docs, False, least).select(F.col("h").alias("node"), "line")
     return semi_join(lines, nodes, "node").groupBy("node").agg(F.first("line").alias("line"))
 
 
@@ -182,15 +188,15 @@ def check_lines(pairs: DataFrame, lines: DataFrame) -> DataFrame:
     return both.select("a", "b", "line_a", "line_b").mapInArrow(run, "a long, b long")
 
 
-def fuzzy_lines(docs: DataFrame) -> DataFrame:
+def fuzzy_lines(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """doc_id, line_no (from 0), class_doc, class_line (the first line of its component), kept: of every line that takes part.
 
-    docs: doc_id, text.
+    docs: doc_id, text; least: the fewest characters of a line that takes part.
     """
     scratch = Scratch(docs.sparkSession, "lines")
-    made = scratch.write(lines_of(docs, True))
+    made = scratch.write(lines_of(docs, True, least))
     keys = made.select(F.explode("bands").alias("key"), F.col("h").alias("node"))
-    parts = linked_components(keys, lambda nodes: lines_of_nodes(docs, nodes), check_lines, scratch).withColumnRenamed("node", "h")
+    parts = linked_components(keys, lambda nodes: lines_of_nodes(docs, nodes, least), check_lines, scratch).withColumnRenamed("node", "h")
     placed = scratch.write(made.select("doc_id", "line_no", "h").distinct().join(parts, "h", "left").select("doc_id", "line_no", F.coalesce("component", "h").alias("component")))
     # the first line of each component, in two steps that aggregate longs
     first = placed.groupBy("component").agg(F.min("doc_id").alias("class_doc"))

@@ -13,7 +13,7 @@ from lumentide.llm.common import table
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.fuzzy_lines(table(spark, sf_dir, "documents"))
+    return line_dedup.fuzzy_lines(table(spark, sf_dir, "documents"), least=1)
 
 
 def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
