@@ -3,8 +3,10 @@
 High-recall generators propose spans, which may overlap: the four base kinds, and forms that the
 base patterns do not cover (e-mail addresses spelled out, national phone numbers, social security
 numbers, IBANs, IPv6 addresses).  Each candidate has format and context features.  Boosted trees
-learn from candidates with a check of their own (check digits, ranges, lengths) to tell real ones
-from lookalikes; a threshold for each kind, calibrated on held-out candidates, selects.  The base
+learn from candidates with a check of their own (check digits, ranges) to tell real ones from
+lookalikes by format and context alone: the check labels and is no feature.  A lookalike passes
+now and then, so of those that pass as many count as lookalikes as the failures make likely.  A
+threshold for each kind, calibrated on held-out candidates, selects among those that pass.  The base
 spans are fixed by rule and always stay; selected spans that overlap no base span and no better
 one are added.
 
@@ -95,7 +97,12 @@ def _found(text: Column, number: int) -> Column:
     return matches
 
 
+#: Kinds whose check tells lookalikes and is not restated by a feature, and the share of lookalikes that pass it:
+#: an octet of three random digits, a check digit, the ranges of random digits, two check digits.
+CHANCE = {"ip": 0.256, "card": 0.1, "ssn": 0.89, "iban": 1 / 97}
 FEATURES = ("generator", "valid", "digits", "groups", "cue", "glued", "letters", "wide")
+#: What the trees of ``train`` may split by: format and context, not the check nor what tells kinds with one from those without.
+LEARNT = tuple(f for f in FEATURES if f not in ("generator", "valid"))
 
 
 def _described(pieces: Column, matches: Column, number: int) -> Column:
@@ -165,11 +172,11 @@ class Tree:
 Row = tuple[dict[str, int], float, float]  # features, gradient sum, hessian sum
 
 
-def _grow(rows: list[Row], depth: int) -> Tree:
+def _grow(rows: list[Row], depth: int, features: tuple[str, ...]) -> Tree:
     total_g, total_h = sum(r[1] for r in rows), sum(r[2] for r in rows)
     leaf = Tree(value=RATE * total_g / (total_h + 1.0))
     best, choice = total_g**2 / (total_h + 1.0) + 1e-6, None
-    for f in FEATURES if depth else ():
+    for f in features if depth else ():
         sums: dict[int, list[float]] = {}
         for x, g, h in rows:
             s = sums.setdefault(x[f], [0.0, 0.0])
@@ -184,7 +191,7 @@ def _grow(rows: list[Row], depth: int) -> Tree:
     if choice is None:
         return leaf
     f, cut = choice
-    return Tree(f, cut, 0.0, [_grow([r for r in rows if r[0][f] <= cut], depth - 1), _grow([r for r in rows if r[0][f] > cut], depth - 1)])
+    return Tree(f, cut, 0.0, [_grow([r for r in rows if r[0][f] <= cut], depth - 1, features), _grow([r for r in rows if r[0][f] > cut], depth - 1, features)])
 
 
 @dataclass
@@ -203,7 +210,7 @@ class Model:
         return out
 
 
-def boost(counts: list[tuple[dict[str, int], int, float, float]]) -> Model:
+def boost(counts: list[tuple[dict[str, int], int, float, float]], features: tuple[str, ...] = FEATURES) -> Model:
     """Trees from (features, kind, positives, negatives) of the training half, as (…, fold 0) rows; see ``train``."""
     positives, negatives = sum(r[2] for r in counts), sum(r[3] for r in counts)
     if not positives or not negatives:
@@ -215,7 +222,7 @@ def boost(counts: list[tuple[dict[str, int], int, float, float]]) -> Model:
         for (x, _, p, n), z in zip(counts, logits, strict=True):
             q = 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
             rows.append((x, p * (1 - q) - n * q, (p + n) * q * (1 - q)))
-        tree = _grow(rows, 2)
+        tree = _grow(rows, 2, features)
         model.trees.append(tree)
         logits = [z + tree.of(r[0]) for r, z in zip(counts, logits, strict=True)]
     return model
@@ -237,16 +244,20 @@ def calibrate(model: Model, counts: list[tuple[dict[str, int], int, float, float
 
 
 def train(found: DataFrame) -> Model:
-    """found: doc_id and candidates.  Real or lookalike goes by the candidate's own check, which is one feature among others."""
+    """found: doc_id and candidates.  Trees over LEARNT from the kinds of CHANCE.
+
+    Of candidates that agree in kind and LEARNT, n fail the check; so n * q / (1 - q) of those that pass are lookalikes
+    that passed by chance q, and the others that pass are real.
+    """
     rows = found.select((F.pmod(F.xxhash64("doc_id"), F.lit(4)) == 0).alias("held"), F.explode("c").alias("c"))
-    names = [*FEATURES, "kind"]
-    counts = rows.groupBy("held", *[F.col(f"c.{f}").alias(f) for f in names]).agg(F.count("*").alias("n")).collect()
+    rows = rows.where(F.col("c.kind").isin([KINDS.index(k) for k in CHANCE]))
+    counts = rows.groupBy("held", *[F.col(f"c.{f}").alias(f) for f in [*LEARNT, "kind"]]).agg(F.sum("c.valid").alias("passed"), F.sum(1 - F.col("c.valid")).alias("failed")).collect()
     sides: dict[bool, list] = {False: [], True: []}
     for r in sorted(counts, key=str):
-        x = {f: int(r[f]) for f in FEATURES}
-        real = float(r["n"]) if x["valid"] else 0.0
-        sides[r["held"]].append((x, int(r["kind"]), real, r["n"] - real))
-    model = boost(sides[False])
+        q = CHANCE[KINDS[r["kind"]]]
+        alike = r["failed"] * q / (1 - q)
+        sides[r["held"]].append(({f: int(r[f]) for f in LEARNT}, int(r["kind"]), max(r["passed"] - alike, 0.0), alike))
+    model = boost(sides[False], LEARNT)
     if model.trees:
         calibrate(model, sides[True])
     return model
@@ -270,7 +281,7 @@ def find(docs: DataFrame) -> DataFrame:
         ok = F.lit(False)
         for kind, threshold in model.thresholds.items():
             ok = ok | ((c["kind"] == kind) & (model.column(c) >= threshold))
-        return ~c["base"] & ok
+        return ~c["base"] & (c["valid"] == 1) & ok
 
     overlap = lambda a, b: (a["start"] < b["end"]) & (b["start"] < a["end"])
     better = lambda a, b: (a["end"] - a["start"] > b["end"] - b["start"]) | ((a["end"] - a["start"] == b["end"] - b["start"]) & ((a["start"] < b["start"]) | ((a["start"] == b["start"]) & (a["generator"] < b["generator"]))))
