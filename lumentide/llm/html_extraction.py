@@ -26,8 +26,10 @@ from pyspark.sql import functions as F
 
 from lumentide.llm.common import Scratch, few_enough
 
-#: A subtree is a template if it is on at least LEAST_PAGES different pages of its host and on this share of them.
-LEAST_PAGES, SHARE = 5, 0.3
+#: A subtree is a template if it is on at least LEAST_PAGES different pages of its host, and on log2 of them where that is more.
+LEAST_PAGES = 5
+#: So many templates are looked up from a broadcast table; beyond, pages meet them by joins, with keys dealt over SALTS.
+KNOWN, SALTS = 50_000, 16
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template iframe textarea title xmp noembed noframes".split())
@@ -208,50 +210,62 @@ def host(url: Column) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]*)", 1))
 
 
-def site_templates(pages: DataFrame, least: int = LEAST_PAGES, share: float = SHARE) -> DataFrame:
-    """host, templates (hashes of its recurring subtrees).
-
-    A template is on ``share`` of its host's pages, so a host has at most 1 / share times as many
-    as a page has subtrees.
-    """
+def page_trees(pages: DataFrame) -> DataFrame:
+    """host, page (hash of the article), body (hash of the page), tree: of the pages (host, html) the subtrees that may be templates, and 0 for the page itself."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hosts, page, tree = [], [], []
-            for h, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                root = parse(body)
+            hosts, page, bodies, tree = [], [], [], []
+            for h, text, body in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                root = parse(text)
                 article = xxhash.xxh64_intdigest("\n".join(blocks(root)).encode("utf-8", "surrogatepass"))
-                found = [0, *subtrees(root)]  # 0 counts the page itself
+                found = [0, *subtrees(root)]
                 hosts += [h] * len(found)
                 page += [article - (1 << 63)] * len(found)
+                bodies += [body] * len(found)
                 tree += [x - (1 << 63) if x else 0 for x in found]
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(page, pa.int64()), pa.array(tree, pa.int64())], names=["host", "page", "tree"])
+            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(page, pa.int64()), pa.array(bodies, pa.string()), pa.array(tree, pa.int64())], names=["host", "page", "body", "tree"])
+
+    rows = pages.where("host <> '' and html is not null").select("host", "html", F.md5(F.col("html").cast("binary")).alias("body"))
+    return rows.mapInArrow(run, "host string, page long, body string, tree long")
+
 
-    rows = pages.where("host <> '' and html is not null").select("host", "html").mapInArrow(run, "host string, page long, tree long")
+def site_templates(pages: DataFrame, least: int = LEAST_PAGES) -> DataFrame:
+    """host, tree: the hashes of its recurring subtrees, a row for each."""
+    rows = page_trees(pages).select("host", "page", "tree")
     counts = rows.distinct().groupBy("host", "tree").agg(F.count("*").alias("n")).where(F.col("n") >= least)
     whole = counts.where("tree = 0").select("host", F.col("n").alias("of"))
-    often = counts.where("tree <> 0").join(whole, "host").where(F.col("n") >= share * F.col("of"))
-    return often.groupBy("host").agg(F.collect_set("tree").alias("templates"))
+    return counts.where("tree <> 0").join(whole, "host").where(F.col("n") >= F.log2("of")).select("host", "tree")
+
+
+def page_templates(pages: DataFrame, templates: DataFrame) -> DataFrame:
+    """host, body, templates: those on each different page, so that a row is bounded by its page."""
+    rows = page_trees(pages).where("tree <> 0").select("host", "body", "tree", F.pmod(F.xxhash64("body"), F.lit(SALTS)).alias("salt"))
+    dealt = templates.select("host", "tree", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt"))
+    return rows.join(dealt, ["host", "tree", "salt"], "left_semi").groupBy("host", "body").agg(F.collect_set("tree").alias("templates"))
 
 
-def extract(pages: DataFrame) -> DataFrame:
-    """page_id, url, text, n_chars of every page (page_id, url, html)."""
+def extract(pages: DataFrame, known: int = KNOWN) -> DataFrame:
+    """page_id, url, text, n_chars of every page (page_id, url, html); known: the most templates to broadcast."""
     pages = pages.select("page_id", "url", "html", host(F.col("url")).alias("host"))
     templates = Scratch(pages.sparkSession, "html").write(site_templates(pages))
-    small = few_enough(templates, 50_000)
-    source = pages.join(F.broadcast(templates) if small else templates, "host", "left").select("page_id", "url", "html", "templates")
+    sites: dict[str, set[int]] = {}
+    if few_enough(templates, known):
+        for r in templates.collect():
+            sites.setdefault(r.host, set()).add(r.tree + (1 << 63))
+        source = pages.select("page_id", "url", "html", "host", F.lit(None).cast("array<long>").alias("templates"))
+    else:
+        keyed = pages.withColumn("body", F.md5(F.col("html").cast("binary")))
+        source = keyed.join(page_templates(pages, templates), ["host", "body"], "left").select("page_id", "url", "html", "host", "templates")
+    sent = pages.sparkSession.sparkContext.broadcast({h: frozenset(t) for h, t in sites.items()})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: dict[tuple[int, ...], frozenset[int]] = {}
+        none: frozenset[int] = frozenset()
         for batch in batches:
             texts = []
-            for body, found in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                key = tuple(found or ())
-                if key not in kept:
-                    if len(kept) > 1000:
-                        kept.clear()
-                    kept[key] = frozenset(x + (1 << 63) for x in key)
-                texts.append("\n".join(blocks(parse(body), kept[key])) if body else "")
+            for body, h, own in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)), strict=True):
+                found = frozenset(x + (1 << 63) for x in own) if own else sent.value.get(h, none)
+                texts.append("\n".join(blocks(parse(body), found)) if body else "")
             column = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), column, pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
