@@ -6,16 +6,15 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lumentide.llm.common import Scratch
+from lumentide.llm.common import Scratch, few_enough
 
-#: A key with more nodes than this pairs them with pivots, a few in each round.
-SMALL = 4
-#: Rounds in which members outside their key's main component are checked against so many of its members,
-#: and how many of those left outside are then checked against all others in one round.
-PROBE_ROUNDS, PROBES, PIVOTS = 2, 8, 64
+#: A key with up to so many nodes pairs them all; of a larger one the first node is paired with each other.
+SMALL = 16
+#: Similarity in hundredths that the size and position filters hold pairs to.
+SIMILAR = 75
 
 
 def connected_components(edges: DataFrame, scratch: Scratch) -> DataFrame:
@@ -32,7 +31,9 @@ def connected_components(edges: DataFrame, scratch: Scratch) -> DataFrame:
         open_nodes = ends.groupBy("x").agg(F.sum("out").alias("out"), F.max("into").alias("into")).where("out > 1 or out = 1 and into = 1")
         if not open_nodes.limit(1).count():
             out = now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
-            return scratch.write(out)
+            out = scratch.write(out)
+            scratch.drop(now)
+            return out
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = scratch.write(both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")))
@@ -52,121 +53,172 @@ def merged(parts: DataFrame, edges: DataFrame, scratch: Scratch) -> DataFrame:
     moves = connected_components(ends, scratch).select(F.col("node").alias("component"), F.col("component").alias("to"))
     old = parts.join(moves, "component", "left").select("node", F.coalesce("to", "component").alias("component"))
     fresh = moves.select(F.col("component").alias("node"), F.col("to").alias("component")).join(parts, "node", "left_anti")
-    return scratch.write(old.unionByName(fresh))
+    out = scratch.write(old.unionByName(fresh))
+    scratch.drop(moves)
+    return out
 
 
-def bucket_pairs(rows: DataFrame, small: int = SMALL) -> DataFrame:
-    """a < b, and for large keys their key: pairs of nodes that share a key.
+def may_link(size_a, pos_a, size_b, pos_b, similar: int = SIMILAR):
+    """Whether sets of these sizes can be similar whose first shared key has these positions (numpy arrays).
 
-    rows: key long, node long.  All pairs of a key with up to ``small`` nodes; of a larger one the
-    pairs of its smallest node, the pivot, with each other, marked by the key.  The sorted rows
-    stream past, so memory does not depend on the size of a group.
+    Linked sets share at least t = similar / (100 + similar) of both sizes together, and what stands before
+    the first shared key is not shared, so each has t left from there on.
     """
+    t = -(-similar * (size_a + size_b) // (100 + similar))
+    return (size_a - np.maximum(pos_a, 0) >= t) & (size_b - np.maximum(pos_b, 0) >= t)
+
+
+def may_link_column(a: str, b: str, similar: int = SIMILAR) -> Column:
+    """``may_link`` of the columns a_size, a_pos, b_size and b_pos."""
+    t = f"(({similar} * ({a}_size + {b}_size) + {similar + 99}) div {100 + similar})"
+    return F.expr(f"{a}_size - greatest({a}_pos, 0) >= {t} and {b}_size - greatest({b}_pos, 0) >= {t}")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, nodes = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        large: tuple[int, int] | None = None  # key and pivot of the large group that goes on
-        last_node = None
 
-        def emit(key, a, b, hot):
-            key = pa.array(key) if hot else pa.nulls(len(a), pa.int64())
-            return pa.RecordBatch.from_arrays([key, pa.array(a), pa.array(b)], names=["key", "a", "b"])
+def bucket_pairs(rows: DataFrame, small: int = SMALL, similar: int = SIMILAR) -> DataFrame:
+    """Pairs a < b of nodes that share a key, and the members of large keys.
+
+    rows: key, node and, where pairs are to be filtered, size (of the node's set) and pos (of the key in it), all long.
+    Of a key with up to ``small`` nodes all pairs that may link.  Of a larger one a row for each node b but the
+    smallest, the pivot, with its key, size and pos, and a the pivot, or null where the two can't link.  The sorted
+    rows stream past, so memory does not depend on the size of a group.
+    """
 
-        def flush(k, n):
-            if len(k) < 2:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [np.zeros(0, np.int64) for _ in range(4)]
+        pivot: list[int] | None = None  # key, node, size and pos of the first row of the large group that goes on
+
+        def star(first, cols):
+            key, node, size, pos = cols
+            ok = may_link(first[2], first[3], size, pos, similar)
+            keep = node != first[1]
+            a = pa.array(np.broadcast_to(first[1], len(node))[keep], mask=~ok[keep])
+            return pa.RecordBatch.from_arrays([pa.array(key[keep]), a, *(pa.array(c[keep]) for c in (node, size, pos))], names=["key", "a", "b", "size", "pos"])
+
+        def flush(cols):
+            key = cols[0]
+            if len(key) < 2:
                 return
-            starts = np.flatnonzero(np.r_[True, k[1:] != k[:-1]])
-            sizes = np.diff(np.r_[starts, len(k)])
-            size = np.repeat(sizes, sizes)
-            few = (size <= small) & (size > 1)
-            fk, fn = k[few], n[few]
+            starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+            sizes = np.diff(np.r_[starts, len(key)])
+            many = np.repeat(sizes, sizes)
+            few = (many <= small) & (many > 1)
+            k, n, size, pos = (c[few] for c in cols)
             found_a, found_b = [], []
             for o in range(1, int(min(small, sizes.max()))):
-                same = np.flatnonzero(fk[o:] == fk[:-o]) if len(fk) > o else fk[:0]
-                found_a.append(fn[same])
-                found_b.append(fn[same + o])
-            if found_a and sum(map(len, found_a)):
-                yield emit(None, np.concatenate(found_a), np.concatenate(found_b), False)
+                if len(k) <= o:
+                    break
+                i = np.flatnonzero((k[o:] == k[:-o]) & (n[o:] != n[:-o]))
+                i = i[may_link(size[i], pos[i], size[i + o], pos[i + o], similar)]
+                found_a.append(n[i])
+                found_b.append(n[i + o])
+            if sum(map(len, found_a)):
+                a, b = pa.array(np.concatenate(found_a)), pa.array(np.concatenate(found_b))
+                none = pa.nulls(len(a), pa.int64())
+                yield pa.RecordBatch.from_arrays([none, a, b, none, none], names=["key", "a", "b", "size", "pos"])
             if (sizes > small).any():
-                pivot = np.repeat(n[starts], sizes)
-                rest = (size > small) & (pivot != n)
-                yield emit(k[rest], pivot[rest], n[rest], True)
+                large = many > small
+                first = [np.repeat(c[starts], sizes)[large] for c in cols]
+                yield star(first, [c[large] for c in cols])
 
         for batch in batches:
-            k, n = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            if large is not None:
-                end = int(np.searchsorted(k, large[0], "right"))
+            cols = [batch.column(i).to_numpy() for i in range(4)]
+            if pivot is not None:
+                end = int(np.searchsorted(cols[0], pivot[0], "right"))
                 if end:
-                    part = n[:end]
-                    part = part[np.r_[part[0] != last_node, part[1:] != part[:-1]]]
-                    last_node = n[end - 1]
-                    if len(part):
-                        yield emit(np.full(len(part), large[0]), np.full(len(part), large[1]), part, True)
-                if end == len(k):
+                    yield star(pivot, [c[:end] for c in cols])
+                if end == len(cols[0]):
                     continue
-                k, n, large = k[end:], n[end:], None
-            k, n = np.r_[keys, k], np.r_[nodes, n]
-            if not len(k):
+                cols, pivot = [c[end:] for c in cols], None
+            cols = [np.r_[h, c] for h, c in zip(held, cols, strict=True)]
+            if not len(cols[0]):
                 continue
-            keep = np.r_[True, (k[1:] != k[:-1]) | (n[1:] != n[:-1])]
-            k, n = k[keep], n[keep]
-            begin = int(np.searchsorted(k, k[-1], "left"))
-            if len(k) - begin > small:
-                large, last_node = (int(k[-1]), int(n[begin])), n[-1]
-                begin = len(k)
-            yield from flush(k[:begin], n[:begin])
-            keys, nodes = k[begin:], n[begin:]
-        yield from flush(keys, nodes)
-
-    return rows.select("key", "node").repartition("key").sortWithinPartitions("key", "node").mapInArrow(run, "key long, a long, b long")
+            again = np.logical_and.reduce([c[1:] == c[:-1] for c in cols])
+            cols = [c[np.r_[True, ~again]] for c in cols]
+            begin = int(np.searchsorted(cols[0], cols[0][-1], "left"))
+            if len(cols[0]) - begin > small:
+                pivot = [c[begin] for c in cols]
+                begin = len(cols[0])
+            yield from flush([c[:begin] for c in cols])
+            held = [c[begin:] for c in cols]
+        yield from flush(held)
+
+    if "size" not in rows.columns:
+        rows = rows.select("key", "node", F.lit(0).cast("long").alias("size"), F.lit(0).cast("long").alias("pos"))
+    rows = rows.select("key", "node", F.col("size").cast("long").alias("size"), F.col("pos").cast("long").alias("pos"))
+    return rows.repartition("key").sortWithinPartitions("key", "node", "size", "pos").mapInArrow(run, "key long, a long, b long, size long, pos long")
+
+
+def _in_two(pairs: DataFrame, parts: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose ends are in different components so far."""
+    for side in ("a", "b"):
+        home = parts.select(F.col("node").alias(side), F.col("component").alias(f"home_{side}"))
+        pairs = pairs.join(home, side, "left").withColumn(f"home_{side}", F.coalesce(f"home_{side}", side))
+    return pairs.where("home_a <> home_b").select("a", "b")
 
 
-def linked_components(rows: DataFrame, load: Callable[[DataFrame], DataFrame], check: Callable[[DataFrame, DataFrame], DataFrame], scratch: Scratch, known: DataFrame | None = None, small: int = SMALL) -> DataFrame:
+def linked_components(rows: DataFrame, load: Callable[[DataFrame], DataFrame], check: Callable[[DataFrame, DataFrame], DataFrame], scratch: Scratch, known: DataFrame | None = None, small: int = SMALL, similar: int = SIMILAR, finer: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """node, component over the pairs that share a key and that are confirmed, and over ``known`` links.
 
-    load: nodes (node) -> what is compared of them, read once; check: pairs (a, b) and that -> the pairs that are linked.
+    rows: as for ``bucket_pairs``; load: nodes (node) -> what is compared of them (node, ...), read once;
+    check: pairs (a, b) and that -> the pairs that are linked; finer: what is compared of the nodes of
+    large keys -> their rows by other keys, more selective ones, such that each link shares one.
 
-    Exact as to components: every pair that shares a key is either checked or already connected.
-    Of a large key only members outside its main component can bring a new link.  Most of those
-    of a group of near copies link to one of a few members of that component, which probe first.
-    Those still outside are pivots: each is checked against all members of other components and
-    then leaves the key.  A key with up to PIVOTS of them is done in one round, one with more
-    takes several.  Keys with the same members count once.
+    Exact as to components: every pair that shares a key and that may link is either checked or
+    already connected.  Of a large key all are checked against its pivot; then, if the key is still
+    in several components, either the members of such keys go through the finer keys, or those
+    outside its main component are checked against those members of others that they may link to.
     """
-    made = scratch.write(bucket_pairs(rows, small))
-    pairs = scratch.write(made.select("a", "b").distinct())
-    loaded = scratch.write(load(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()))
-    every = scratch.write(check(pairs, loaded))
-    if known is not None:
-        every = every.unionByName(known)
-    parts = connected_components(every, scratch)
-    members = made.where("key is not null").select("key", F.col("b").alias("node"))
-    if not members.limit(1).count():
-        return parts
-    alike = members.groupBy("key").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("x"), F.sum(F.pmod(F.xxhash64("node", F.lit(1)), F.lit(1 << 40))).alias("s"))
-    members = scratch.write(members.join(alike.groupBy("n", "x", "s").agg(F.min("key").alias("key")).select("key"), "key", "left_semi"))
-    probed = 0
-    while True:
-        placed = members.join(parts, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
-        sizes = placed.groupBy("key", "component").agg(F.count("*").alias("c"))
-        mains = sizes.groupBy("key").agg(F.max_by("component", F.struct("c", "component")).alias("main"), F.count("*").alias("parts"), (F.sum("c") - F.max("c")).alias("outside")).where("parts > 1")
-        placed = scratch.write(placed.join(mains, "key").drop("parts"))
-        if not placed.limit(1).count():
-            return parts
-        outside = placed.where("component <> main")
-        if probed < PROBE_ROUNDS:
-            slot = F.pmod(F.xxhash64("node", F.lit(probed)), F.lit(PROBES))
-            probes = placed.where("component = main").groupBy("key", slot.alias("slot")).agg(F.min("node").alias("pivot")).select("key", "pivot")
-            pairs = outside.join(probes, "key")
-        else:
-            slot = F.when(F.col("outside") <= PIVOTS, F.col("node")).otherwise(F.pmod(F.xxhash64("node"), F.lit(PIVOTS)))
-            pivots = outside.groupBy("key", slot.alias("slot")).agg(F.min("node").alias("pivot"), F.min_by("component", "node").alias("home"))
-            pivots = scratch.write(pivots.select("key", "pivot", "home"))
-            pairs = placed.join(pivots, "key").where("component <> home")
-            left = placed.where(F.col("outside") > PIVOTS).select("key", "node")
-            members = scratch.write(left.join(pivots.select("key", F.col("pivot").alias("node")), ["key", "node"], "left_anti"))
-        probed += 1
-        pairs = pairs.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
-        found = scratch.write(check(pairs, loaded))
-        if found.limit(1).count():
-            parts = merged(parts, found, scratch)
+    made = scratch.write(bucket_pairs(rows, small, similar))
+    pairs = scratch.write(made.where("a is not null").select("a", "b").distinct())
+    loaded = scratch.write(load(made.select(F.explode(F.array("a", "b")).alias("node")).where("node is not null").distinct()))
+    parts = _joined(None, pairs, loaded, check, scratch, known)
+    members = made.where("key is not null").select("key", F.col("b").alias("node"), "size", "pos").distinct()
+    mixed = _mixed_keys(members, parts, scratch)
+    if mixed is not None and finer is not None:
+        fine = finer(loaded.join(mixed.select("node").distinct(), "node", "left_semi"))
+        made, before = scratch.write(bucket_pairs(fine, small, similar)), made
+        scratch.drop(before, mixed, pairs)
+        pairs = scratch.write(_in_two(made.where("a is not null").select("a", "b").distinct(), parts))
+        parts = _joined(parts, pairs, loaded, check, scratch)
+        members = made.where("key is not null").select("key", F.col("b").alias("node"), "size", "pos").distinct()
+        mixed = _mixed_keys(members, parts, scratch)
+    if mixed is not None:
+        scratch.drop(pairs)
+        a = mixed.where("component <> main").select("key", *(F.col(c).alias(f"a_{c}") for c in ("node", "size", "pos", "component")))
+        b = mixed.select("key", *(F.col(c).alias(f"b_{c}") for c in ("node", "size", "pos", "component")))
+        both = a.join(b, "key").where((F.col("a_component") != F.col("b_component")) & may_link_column("a", "b", similar))
+        pairs = scratch.write(both.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")).distinct())
+        parts = _joined(parts, pairs, loaded, check, scratch)
+        scratch.drop(mixed)
+    scratch.drop(made, pairs, loaded)
+    return parts
+
+
+def _joined(parts: DataFrame | None, pairs: DataFrame, loaded: DataFrame, check: Callable[[DataFrame, DataFrame], DataFrame], scratch: Scratch, known: DataFrame | None = None) -> DataFrame:
+    """parts with those of the pairs that are linked."""
+    found = scratch.write(check(pairs, loaded))
+    edges = found.unionByName(known) if known is not None else found
+    if parts is None:
+        out = connected_components(edges, scratch)
+    elif found.limit(1).count():
+        out = merged(parts, edges, scratch)
+        scratch.drop(parts)
+    else:
+        out = parts
+    scratch.drop(found)
+    return out
+
+
+def _mixed_keys(members: DataFrame, parts: DataFrame, scratch: Scratch) -> DataFrame | None:
+    """members (key, node, size, pos) of the keys that are in several components, with component and the key's main one; None if there are none."""
+    placed = members.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    sizes = placed.groupBy("key", "component").agg(F.count("*").alias("c"))
+    # the largest, ties to the least component: longs only, so it is aggregated by hash
+    most = sizes.groupBy("key").agg(F.max("c").alias("most"), F.count("*").alias("parts")).where("parts > 1").select("key", "most")
+    mains = scratch.write(sizes.join(most, "key").where("c = most").groupBy("key").agg(F.min("component").alias("main")))
+    if not mains.limit(1).count():
+        scratch.drop(mains)
+        return None
+    out = scratch.write(placed.join(F.broadcast(mains) if few_enough(mains) else mains, "key"))
+    scratch.drop(mains)
+    return out

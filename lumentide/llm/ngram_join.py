@@ -3,21 +3,26 @@
 A document's set (distinct shingles of five words) is XOR-hashed into a bit sketch: each
 shingle toggles the 64 bits of its hash in one of k words of the sketch.  A shingle that only
 one of two sets has changes one word, so the number of differing words is at most the
-symmetric difference, which a similarity of t bounds: of sizes a and b it is at most
-(a + b)(1 - t) / (1 + t).  By the pigeonhole principle the documents agree in other words.
+symmetric difference, which a similarity of t bounds: sets of sizes a and b share at least
+(a + b) t / (1 + t) shingles.  By the pigeonhole principle the documents agree in other words.
 
 Size bands grow by four; a pair meets in the band of its smaller set, so a document also
-sketches itself for the band below if a partner can be there.  With d the largest difference
-it can have to a partner, it is enough that it shows the first d + 1 of its non-empty sketch
-words in an order that all documents share: of two linked documents the first word that they
-have in common is among those of both.  That needs more than d non-empty words; a document
-with fewer also shows a sketch of four times as many words, and so on, until each shingle
-stands alone.  The order goes by how frequent a word's rarest shingle is, the frequent ones last,
-so a passage that many documents share brings few candidates.  Candidates are checked exactly, and large
-groups of them by pivots (``linking``), so no link is lost and no group is expanded into pairs.
+sketches itself for the band below if a partner can be there.  The sketch is sparse (SPARSE
+words for each shingle of the band's smallest set): few shingles share a word, and a word that
+stands for one shingle differs only if the partner lacks the shingle, or holds another in the
+same word.  So of a document's non-empty words at most those of its shingles that the partner
+lacks differ, besides as many as there are shingles in shared words (``slack``; a set with
+more of them than the band allows shows its shingles alone).  It is enough that a document
+shows one more than that of its words in an order that all documents share: of two linked
+documents the first word that they have in common is among those of both, and its place in
+either tells whether they can still link (``linking.may_link``).  The order goes by how
+frequent a word's rarest shingle is, the frequent ones last, so a passage that many documents
+share brings few candidates.  Candidates are checked exactly, and large groups of them by
+pivots (``linking``), so no link is lost and no group is expanded into pairs.
 
 Semantics: a null or empty text has an empty set and links with nothing; a null doc_id keeps
-its row and has no component; rows of one doc_id are one document.
+its row and has no component; rows of one doc_id are one document.  Equal sets are linked by
+their hashes (128 bits), and one document of them stands for all in the join.
 """
 
 from __future__ import annotations
@@ -29,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lumentide.llm.common import Scratch, common, distinct, long_list, mix64, semi_join, utf8_parts
+from lumentide.llm.common import Scratch, common, distinct, few_enough, long_list, mix64, semi_join, utf8_parts
 from lumentide.llm.linking import linked_components
 from lumentide.llm.shingling import shingle_hashes
 
@@ -43,6 +48,8 @@ FREQUENT, MOST_FREQUENT = 16, 262_144
 LOCAL_TIMES, LOCAL_SHINGLES = 2, 1 << 22
 #: Sets that a task remembers, so as to sketch equal ones once.
 REMEMBERED = 500_000
+#: Sketch words for each shingle of the smallest set of a band.
+SPARSE = 1 << 14
 _C = mix64(np.arange(101, 105, dtype=np.uint64))
 
 
@@ -74,73 +81,93 @@ def frequent_shingles(texts: DataFrame, width: int = WIDTH) -> tuple[np.ndarray,
     return hashes[order], np.minimum(2 * np.log2(np.maximum(got["n"].to_numpy()[order], 1)), 63).astype(np.uint8)
 
 
-def sketch_words(sets: np.ndarray, frequent: np.ndarray, band: int, d: int) -> list[np.ndarray]:
-    """Hashes of the sketch words that a set shows in a band, at each level that it needs."""
+def _slack(band: int) -> int:
+    """How many of a set's shingles may share a word in a band before it shows them alone."""
+    return 1 + 4 ** (band + 1) // 2048
+
+
+def sketch_words(sets: np.ndarray, frequent: np.ndarray, band: int, least: int, similar: int = SIMILAR) -> np.ndarray:
+    """Hashes of the sketch words that a set shows in a band to partners of ``least`` shingles and more, in order."""
+    n = len(sets)
     values = mix64(sets ^ _C[0])
-    k, level, out = 2 * 4**band, 0, []
-    while True:
-        block = (sets >> np.uint64(8)) & np.uint64(k - 1)
-        order = np.argsort(block, kind="stable")
-        sorted_block = block[order]
-        starts = np.flatnonzero(np.r_[True, sorted_block[1:] != sorted_block[:-1]])
-        with np.errstate(over="ignore"):
-            name = mix64(sorted_block[starts] * _C[1] + np.uint64(64 * band + level) * _C[2])
-        words = mix64(np.bitwise_xor.reduceat(values[order], starts) ^ name)
-        if len(words) > d + 1:
-            late = np.minimum.reduceat(frequent[order], starts).astype(np.uint64) << np.uint64(58)
-            out.append(words[np.argpartition((words >> np.uint64(6)) | late, d)[: d + 1]])
-        else:
-            out.append(words)
-        if len(words) > d or k >= 1 << 50:
-            return out
-        k, level = k * 4, level + 1
+    block = (sets >> np.uint64(8)) & np.uint64(SPARSE * 4**band - 1)
+    order = np.argsort(block)
+    block, words, late = block[order], values[order], frequent[order]
+    fresh = np.r_[True, block[1:] != block[:-1]]
+    if not fresh.all():
+        starts = np.flatnonzero(fresh)
+        sizes = np.diff(np.r_[starts, n])
+        if sizes[sizes > 1].sum() <= _slack(band):
+            block, words, late = block[starts], np.bitwise_xor.reduceat(words, starts), np.minimum.reduceat(late, starts)
+    with np.errstate(over="ignore"):
+        words = mix64(words ^ mix64(block * _C[1] + np.uint64(band) * _C[2]))
+    # shingles that the smallest partner lacks, those in shared words of either, and one more
+    show = n - -(-similar * (n + least) // (100 + similar)) + 2 * _slack(band) + 1
+    rank = (words >> np.uint64(6)) | (late.astype(np.uint64) << np.uint64(58))
+    if show < len(words):
+        some = np.argpartition(rank, show - 1)[:show]
+        words, rank = words[some], rank[some]
+    return words[np.argsort(rank)]
+
+
+def shown_in_bands(sets: np.ndarray, frequent: np.ndarray, similar: int = SIMILAR) -> list[tuple[int, np.ndarray]]:
+    """(slack of both sides, words in order) of a set, in its own band and, where a partner can be there, the one below."""
+    n = len(sets)
+    band = (n.bit_length() - 1) // 2
+    least = -(-n * similar // 100)  # the smallest partner
+    out = [(2 * _slack(band), sketch_words(sets, frequent, band, max(least, 4**band), similar))]
+    if least < 4**band:
+        out.append((2 * _slack(band - 1), sketch_words(sets, frequent, band - 1, least, similar)))
+    return out
 
 
 def shown_words(sets: np.ndarray, frequent: np.ndarray, similar: int = SIMILAR) -> np.ndarray:
     """All sketch words that a set shows, over the bands where a partner can be."""
-    n = len(sets)
-    band = (n.bit_length() - 1) // 2
-    apart, both = 100 - similar, 100 + similar  # symmetric difference <= (a + b) * apart / both
-    out = sketch_words(sets, frequent, band, (n + n * 100 // similar) * apart // both)
-    below = 4**band - 1  # largest size of the band below
-    if below and -(-n * similar // 100) <= below:
-        out += sketch_words(sets, frequent, band - 1, (n + min(n, below)) * apart // both)
-    return np.concatenate(out)
+    return np.concatenate([words for _, words in shown_in_bands(sets, frequent, similar)])
+
+
+def magnitudes(sets: np.ndarray, frequent: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """How frequent each shingle of a set is; 0 for those not held to be frequent."""
+    heavy, magnitude = frequent
+    if not len(heavy):
+        return np.zeros(len(sets), np.uint8)
+    at = np.minimum(np.searchsorted(heavy, sets), len(heavy) - 1)
+    return np.where(heavy[at] == sets, magnitude[at], np.uint8(0))
 
 
 def sketches(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], width: int = WIDTH, similar: int = SIMILAR) -> DataFrame:
-    """doc_id, n, h1, h2 (together the set's identity) and words, which are left out if the task has shown an equal set."""
+    """doc_id, n, h1, h2 (together the set's identity), and words, which are left out if the task has shown an equal set.
+
+    own: how many of the words are of the set's own band; the slack of their places, and of those of the band below.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: set[tuple[int, int]] = set()
-        heavy, magnitude = sent.value
+        names = ["n", "h1", "h2", "own", "slack", "slack_below"]
         for batch in batches:
-            n, h1, h2, words, lengths = [], [], [], [], []
+            rows, words, lengths = [], [], []
             for s in shingle_hashes(*utf8_parts(batch.column(1)), width):
                 u = distinct(s)
-                n.append(len(u))
                 with np.errstate(over="ignore"):
                     one, two = mix64(u).sum(dtype=np.uint64), np.bitwise_xor.reduce(mix64(u ^ _C[3]))
-                h1.append(int(one.view(np.int64)) if len(u) else 0)
-                h2.append(int(two.view(np.int64)) if len(u) else 0)
-                w = u[:0]
-                if len(u) and (h1[-1], h2[-1]) not in known:
+                row = [len(u), int(one.view(np.int64)) if len(u) else 0, int(two.view(np.int64)) if len(u) else 0, 0, 0, 0]
+                shown = []
+                if len(u) and (row[1], row[2]) not in known:
                     if len(known) >= REMEMBERED:
                         known.clear()
-                    known.add((h1[-1], h2[-1]))
-                    often = np.zeros(len(u), np.uint8)
-                    if len(heavy):
-                        at = np.minimum(np.searchsorted(heavy, u), len(heavy) - 1)
-                        often = np.where(heavy[at] == u, magnitude[at], np.uint8(0))
-                    w = shown_words(u, often, similar)
-                words.append(w)
-                lengths.append(len(w))
+                    known.add((row[1], row[2]))
+                    shown = shown_in_bands(u, magnitudes(u, sent.value), similar)
+                    row[3:] = [len(shown[0][1]), shown[0][0], shown[-1][0]]
+                rows.append(row)
+                words += [w for _, w in shown]
+                lengths.append(sum(len(w) for _, w in shown))
             flat = np.concatenate(words).view(np.int64) if words else np.zeros(0, np.int64)
-            arrays = [batch.column(0), pa.array(n, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), long_list(flat, np.array(lengths, np.int64))]
-            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n", "h1", "h2", "words"])
+            table = np.array(rows, np.int64).reshape(len(rows), 6)
+            arrays = [batch.column(0), *(pa.array(np.ascontiguousarray(table[:, i])) for i in range(6)), long_list(flat, np.array(lengths, np.int64))]
+            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", *names, "words"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n long, h1 long, h2 long, words array<long>")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n long, h1 long, h2 long, own long, slack long, slack_below long, words array<long>")
 
 
 def check_pairs(pairs: DataFrame, texts: DataFrame, width: int = WIDTH, similar: int = SIMILAR) -> DataFrame:
@@ -178,8 +205,15 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, similar: int = SIMILAR)
     frequent = frequent_shingles(docs.select("text"), width)
     made = scratch.write(sketches(docs, frequent, width, similar))
     real = made.where("n > 0 and doc_id is not null")
-    copies = real.groupBy("h1", "h2").agg(F.min("doc_id").alias("first"), F.count("*").alias("c")).where("c > 1").select("h1", "h2", "first")
-    copies = real.select("doc_id", "h1", "h2").join(copies, ["h1", "h2"]).select(F.col("first").alias("a"), F.col("doc_id").alias("b")).where("a <> b").distinct()
+    # of equal sets the first document is linked with each other, and one that shows its words stands for all
+    groups = real.groupBy("h1", "h2").agg(F.min("doc_id").alias("first"), F.min(F.when(F.size("words") > 0, F.col("doc_id"))).alias("shown"), F.count("*").alias("c"))
+    groups = scratch.write(groups.where("c > 1").drop("c"))
+    if few_enough(groups):
+        groups = F.broadcast(groups)
+    copies = real.select("doc_id", "h1", "h2").join(groups, ["h1", "h2"]).select(F.col("first").alias("a"), F.col("doc_id").alias("b")).where("a <> b").distinct()
+    keys = real.where(F.size("words") > 0).join(groups.select("h1", "h2", "shown"), ["h1", "h2"], "left").where("shown is null or shown = doc_id")
+    place = F.when(F.col("i") < F.col("own"), F.col("i") - F.col("slack")).otherwise(F.col("i") - F.col("own") - F.col("slack_below"))
+    keys = keys.select("doc_id", "n", "own", "slack", "slack_below", F.posexplode("words").alias("i", "key")).select("key", F.col("doc_id").alias("node"), F.col("n").alias("size"), place.alias("pos"))
 
     def load(nodes: DataFrame) -> DataFrame:
         return semi_join(docs.select(F.col("doc_id").alias("node"), "text"), nodes, "node")
@@ -187,6 +221,8 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, similar: int = SIMILAR)
     def check(pairs: DataFrame, texts: DataFrame) -> DataFrame:
         return check_pairs(pairs, texts, width, similar).distinct()
 
-    keys = real.select(F.explode("words").alias("key"), F.col("doc_id").alias("node"))
-    parts = linked_components(keys, load, check, scratch, scratch.write(copies)).withColumnRenamed("node", "doc_id")
-    return made.select("doc_id", F.col("n").alias("n_shingles")).join(parts, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    parts = linked_components(keys, load, check, scratch, scratch.write(copies), similar=similar)
+    if few_enough(parts):
+        parts = F.broadcast(parts)
+    out = made.select("doc_id", F.col("n").alias("n_shingles")).join(parts.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+    return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
