@@ -79,6 +79,14 @@ def few_enough(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     return df.limit(rows + 1).count() <= rows
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until no column of df has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def semi_join(big: DataFrame, keys: DataFrame, on: str) -> DataFrame:
     """Rows of big whose key is in keys (unique): a broadcast behind a size check, else a shuffle."""
     return big.join(F.broadcast(keys) if few_enough(keys) else keys, on, "left_semi")

@@ -7,14 +7,19 @@ narrow, so that a pair at the threshold is a candidate with odds of 99 %.  Candi
 verified by the exact Jaccard similarity of their sets; verified links are joined by distributed
 union-find, and of each component the first line (by doc_id, then line number) stays.
 
+A band that many lines share is not expanded into pairs: its lines are checked against one of
+them, and those of bands that stay in several components meet by their rarest shingles
+(``ngram_join.finer_keys``), which miss no link among them.
+
 Equal lines meet by the hash of the line (64 bits), so a task signs each line once and repeated
 lines are rows of a count, not pairs.
 
 A line shorter than a shingle is one shingle, the whole line, which no longer line holds.
 
-Semantics: lines with fewer than ``least`` characters, as compared, take no part and always
-stay, as do rows without doc_id (the query takes every line that is not empty); null and empty
-texts have no lines; rows that repeat a doc_id are one document.
+Semantics: every line that is not empty takes part, however short, but lines with fewer than
+``least`` characters where a caller asks for that, and those of rows without doc_id, which stay;
+null and empty texts have no lines.  Rows that repeat give repeated rows; a line goes only if
+the text of its row has it at its place, so rows of one doc_id lose no text of their own.
 """
 
 from __future__ import annotations
@@ -27,15 +32,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lumentide.llm.common import Scratch, common, distinct, long_list, mix64, semi_join
+from lumentide.llm.common import Scratch, common, distinct, few_enough, free_name, long_list, mix64, semi_join
 from lumentide.llm.linking import linked_components
+from lumentide.llm.ngram_join import finer_keys
 from lumentide.llm.shingling import _power_tables
 
 SHINGLE = 8
 #: Lines are alike if 100 * intersection >= SIMILAR * union.
 SIMILAR = 75
-#: What ``least`` is where a caller names none.
-LEAST = 20
+#: What ``least`` is where a caller names none: lines of any length take part.
+LEAST = 1
 #: Fills a line up to SHINGLE characters: a lone surrogate, which no text of a table holds.
 FILL = "\udfff"
 #: At a similarity of 0.75 a band of four agrees with odds 0.32, one of twelve with odds 0.99.
@@ -189,38 +195,63 @@ def check_lines(pairs: DataFrame, lines: DataFrame) -> DataFrame:
 
 
 def fuzzy_lines(docs: DataFrame, least: int = LEAST) -> DataFrame:
-    """doc_id, line_no (from 0), class_doc, class_line (the first line of its component), kept: of every line that takes part.
+    """doc_id, line_no (from 0), h (the line's hash), class_doc, class_line (the first line of its component), kept: of every line that takes part.
 
     docs: doc_id, text; least: the fewest characters of a line that takes part.
     """
     scratch = Scratch(docs.sparkSession, "lines")
     made = scratch.write(lines_of(docs, True, least))
     keys = made.select(F.explode("bands").alias("key"), F.col("h").alias("node"))
-    parts = linked_components(keys, lambda nodes: lines_of_nodes(docs, nodes, least), check_lines, scratch).withColumnRenamed("node", "h")
-    placed = scratch.write(made.select("doc_id", "line_no", "h").distinct().join(parts, "h", "left").select("doc_id", "line_no", F.coalesce("component", "h").alias("component")))
-    # the first line of each component, in two steps that aggregate longs
-    first = placed.groupBy("component").agg(F.min("doc_id").alias("class_doc"))
-    line = placed.groupBy("component", "doc_id").agg(F.min("line_no").alias("class_line"))
-    first = scratch.write(line.join(first, "component").where("doc_id = class_doc").select("component", "class_doc", "class_line"))
+
+    def finer(hot: DataFrame) -> DataFrame:
+        return finer_keys(hot.withColumnRenamed("line", "text"), lambda lines: shingle_sets(lines.to_pylist()), SIMILAR)
+
+    parts = linked_components(keys, lambda nodes: lines_of_nodes(docs, nodes, least), check_lines, scratch, similar=SIMILAR, finer=finer)
+    if few_enough(parts):
+        parts = F.broadcast(parts)
+    lines = made.select("doc_id", "line_no", "h").join(parts.withColumnRenamed("node", "h"), "h", "left")
+    placed = scratch.write(lines.select("doc_id", "line_no", "h", F.coalesce("component", "h").alias("component")))
+    scratch.drop(made)
+    # (doc_id, line_no) in one number, so that the first line of a component is found by hash aggregation
+    place = F.col("doc_id").cast("decimal(20,0)") * F.lit(1 << 32).cast("decimal(10,0)") + F.col("line_no").cast("decimal(10,0)")
+    firsts = placed.groupBy("component").agg(F.min(place).alias("place"), F.count("*").alias("n")).where("n > 1")
+    line = F.pmod(F.col("place"), F.lit(1 << 32).cast("decimal(10,0)"))
+    doc = ((F.col("place") - line) / F.lit(1 << 32).cast("decimal(10,0)")).cast("long")
+    firsts = scratch.write(firsts.select("component", doc.alias("class_doc"), line.cast("int").alias("class_line")))
+    if few_enough(firsts):
+        firsts = F.broadcast(firsts)
     kept = (F.col("doc_id") == F.col("class_doc")) & (F.col("line_no") == F.col("class_line"))
-    return placed.join(first, "component").select("doc_id", "line_no", "class_doc", "class_line", kept.alias("kept"))
+    out = placed.join(firsts, "component", "left").withColumn("class_doc", F.coalesce("class_doc", "doc_id")).withColumn("class_line", F.coalesce("class_line", "line_no"))
+    return out.select("doc_id", "line_no", "h", "class_doc", "class_line", kept.alias("kept"))
 
 
 def without_lines(docs: DataFrame, lines: DataFrame) -> DataFrame:
-    """docs less the lines that are not kept; a document of which no line with text is left goes, one that lost none stays as it is."""
-    gone = lines.where("not kept").groupBy("doc_id").agg(F.collect_set("line_no").alias("_gone"))
+    """docs less the lines that are not kept; a document of which no line with text is left goes, one that lost none stays as it is.
+
+    lines: rows of ``fuzzy_lines``.  A line goes if it is at its place in the row's text; so of rows that repeat a doc_id each loses its own lines.
+    """
+    lost = free_name(docs, "lost")
+    gone = lines.where("not kept")
+    few = few_enough(gone)
+    gone = gone.groupBy("doc_id").agg(F.collect_set(F.struct("line_no", "h")).alias(lost))
     names = docs.columns
-    both = docs.join(gone, "doc_id", "left").select(*names, "_gone")
+    both = docs.join(F.broadcast(gone) if few else gone, "doc_id", "left").select(*names, lost)
     body, at = names.index("text"), len(names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, stay = batch.column(body).to_pylist(), []
-            for i, lost in enumerate(batch.column(at).to_pylist()):
-                if lost:
-                    lost = set(lost)
-                    texts[i] = "\n".join(x for n, x in enumerate(texts[i].split("\n")) if n not in lost)
-                stay.append(not lost or bool(texts[i].strip()))
+            for i, drop in enumerate(batch.column(at).to_pylist()):
+                if drop and texts[i]:
+                    drop = {(x["line_no"], x["h"]) for x in drop}
+                    at_risk = {n for n, _ in drop}
+                    raw = texts[i].split("\n")
+                    left = [x for n, x in enumerate(raw) if n not in at_risk or (n, line_hash(normal(x))) not in drop]
+                    if len(left) < len(raw):
+                        texts[i] = "\n".join(left)
+                        stay.append(bool(texts[i].strip()))
+                        continue
+                stay.append(True)
             columns = [batch.column(k) for k in range(at)]
             columns[body] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays(columns, names=names).filter(pa.array(stay, pa.bool_()))

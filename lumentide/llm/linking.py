@@ -45,7 +45,10 @@ def connected_components(edges: DataFrame, scratch: Scratch) -> DataFrame:
 
 
 def merged(parts: DataFrame, edges: DataFrame, scratch: Scratch) -> DataFrame:
-    """parts (node, component) after further edges (a, b): only the components that these touch are joined anew."""
+    """parts (node, component) after further edges (a, b), written: only the components that these touch are joined anew.  Both are dropped."""
+    if not edges.limit(1).count():
+        scratch.drop(edges)
+        return parts
     ends = edges
     for side in ("a", "b"):
         home = parts.select(F.col("node").alias(side), F.col("component").alias("home"))
@@ -54,7 +57,7 @@ def merged(parts: DataFrame, edges: DataFrame, scratch: Scratch) -> DataFrame:
     old = parts.join(moves, "component", "left").select("node", F.coalesce("to", "component").alias("component"))
     fresh = moves.select(F.col("component").alias("node"), F.col("to").alias("component")).join(parts, "node", "left_anti")
     out = scratch.write(old.unionByName(fresh))
-    scratch.drop(moves)
+    scratch.drop(moves, parts, edges)
     return out
 
 
@@ -156,12 +159,13 @@ def _in_two(pairs: DataFrame, parts: DataFrame) -> DataFrame:
     return pairs.where("home_a <> home_b").select("a", "b")
 
 
-def linked_components(rows: DataFrame, load: Callable[[DataFrame], DataFrame], check: Callable[[DataFrame, DataFrame], DataFrame], scratch: Scratch, known: DataFrame | None = None, small: int = SMALL, similar: int = SIMILAR, finer: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+def linked_components(rows: DataFrame, load: Callable[[DataFrame], DataFrame], check: Callable[[DataFrame, DataFrame], DataFrame], scratch: Scratch, known: DataFrame | None = None, small: int = SMALL, similar: int = SIMILAR, finer: Callable[[DataFrame], DataFrame] | None = None, sift: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """node, component over the pairs that share a key and that are confirmed, and over ``known`` links.
 
-    rows: as for ``bucket_pairs``; load: nodes (node) -> what is compared of them (node, ...), read once;
+    rows: as for ``bucket_pairs``; load: nodes (node) -> what is compared of them (node, ...);
     check: pairs (a, b) and that -> the pairs that are linked; finer: what is compared of the nodes of
-    large keys -> their rows by other keys, more selective ones, such that each link shares one.
+    large keys -> their rows by other keys, more selective ones, such that each link shares one;
+    sift: pairs -> those that may be linked, by less than what is loaded.  Without sift all is loaded once.
 
     Exact as to components: every pair that shares a key and that may link is either checked or
     already connected.  Of a large key all are checked against its pivot; then, if the key is still
@@ -169,46 +173,40 @@ def linked_components(rows: DataFrame, load: Callable[[DataFrame], DataFrame], c
     outside its main component are checked against those members of others that they may link to.
     """
     made = scratch.write(bucket_pairs(rows, small, similar))
-    pairs = scratch.write(made.where("a is not null").select("a", "b").distinct())
-    loaded = scratch.write(load(made.select(F.explode(F.array("a", "b")).alias("node")).where("node is not null").distinct()))
-    parts = _joined(None, pairs, loaded, check, scratch, known)
-    members = made.where("key is not null").select("key", F.col("b").alias("node"), "size", "pos").distinct()
-    mixed = _mixed_keys(members, parts, scratch)
+    once = scratch.write(load(made.select(F.explode(F.array("a", "b")).alias("node")).where("node is not null").distinct())) if sift is None else None
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        pairs = scratch.write(pairs.distinct() if sift is None else sift(pairs.distinct()))
+        loaded = once if sift is None else scratch.write(load(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()))
+        found = scratch.write(check(pairs, loaded))
+        scratch.drop(pairs, None if sift is None else loaded)
+        return found
+
+    def members() -> DataFrame:
+        return made.where("key is not null").select("key", F.col("b").alias("node"), "size", "pos").distinct()
+
+    found = linked(made.where("a is not null").select("a", "b"))
+    parts = connected_components(found if known is None else found.unionByName(known), scratch)
+    scratch.drop(found)
+    mixed = _mixed_keys(members(), parts, scratch)
     if mixed is not None and finer is not None:
-        fine = finer(loaded.join(mixed.select("node").distinct(), "node", "left_semi"))
-        made, before = scratch.write(bucket_pairs(fine, small, similar)), made
-        scratch.drop(before, mixed, pairs)
-        pairs = scratch.write(_in_two(made.where("a is not null").select("a", "b").distinct(), parts))
-        parts = _joined(parts, pairs, loaded, check, scratch)
-        members = made.where("key is not null").select("key", F.col("b").alias("node"), "size", "pos").distinct()
-        mixed = _mixed_keys(members, parts, scratch)
+        hot = mixed.select("node").distinct()
+        hot = scratch.write(load(hot) if sift else once.join(hot, "node", "left_semi"))
+        scratch.drop(made, mixed)
+        made = scratch.write(bucket_pairs(finer(hot), small, similar))
+        parts = merged(parts, linked(_in_two(made.where("a is not null").select("a", "b").distinct(), parts)), scratch)
+        scratch.drop(hot)
+        mixed = _mixed_keys(members(), parts, scratch)
     if mixed is not None:
-        scratch.drop(pairs)
         a = mixed.where("component <> main").select("key", *(F.col(c).alias(f"a_{c}") for c in ("node", "size", "pos", "component")))
         b = mixed.select("key", *(F.col(c).alias(f"b_{c}") for c in ("node", "size", "pos", "component")))
         both = a.join(b, "key").where((F.col("a_component") != F.col("b_component")) & may_link_column("a", "b", similar))
-        pairs = scratch.write(both.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")).distinct())
-        parts = _joined(parts, pairs, loaded, check, scratch)
+        parts = merged(parts, linked(both.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b"))), scratch)
         scratch.drop(mixed)
-    scratch.drop(made, pairs, loaded)
+    scratch.drop(made, once)
     return parts
 
 
-def _joined(parts: DataFrame | None, pairs: DataFrame, loaded: DataFrame, check: Callable[[DataFrame, DataFrame], DataFrame], scratch: Scratch, known: DataFrame | None = None) -> DataFrame:
-    """parts with those of the pairs that are linked."""
-    found = scratch.write(check(pairs, loaded))
-    edges = found.unionByName(known) if known is not None else found
-    if parts is None:
-        out = connected_components(edges, scratch)
-    elif found.limit(1).count():
-        out = merged(parts, edges, scratch)
-        scratch.drop(parts)
-    else:
-        out = parts
-    scratch.drop(found)
-    return out
-
-
 def _mixed_keys(members: DataFrame, parts: DataFrame, scratch: Scratch) -> DataFrame | None:
     """members (key, node, size, pos) of the keys that are in several components, with component and the key's main one; None if there are none."""
     placed = members.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))

@@ -17,8 +17,9 @@ shows one more than that of its words in an order that all documents share: of t
 documents the first word that they have in common is among those of both, and its place in
 either tells whether they can still link (``linking.may_link``).  The order goes by how
 frequent a word's rarest shingle is, the frequent ones last, so a passage that many documents
-share brings few candidates.  Candidates are checked exactly, and large groups of them by
-pivots (``linking``), so no link is lost and no group is expanded into pairs.
+share brings few candidates.  Candidates whose bit sketches differ in more bits than linked sets
+can are dropped, the others are checked exactly, and large groups of them by pivots and by the
+words in an order of their own (``linking``), so no link is lost and no group is expanded into pairs.
 
 Semantics: a null or empty text has an empty set and links with nothing; a null doc_id keeps
 its row and has no component; rows of one doc_id are one document.  Equal sets are linked by
@@ -27,7 +28,7 @@ their hashes (128 bits), and one document of them stands for all in the join.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +39,9 @@ from lumentide.llm.common import Scratch, common, distinct, few_enough, long_lis
 from lumentide.llm.linking import linked_components
 from lumentide.llm.shingling import shingle_hashes
 
+#: Shingle hashes of each text of a column.
+Hashes = Callable[[pa.Array], Iterable[np.ndarray]]
+
 WIDTH = 5
 #: Similarity in hundredths: linked if 100 * intersection >= SIMILAR * union.
 SIMILAR = 75
@@ -53,19 +57,24 @@ SPARSE = 1 << 14
 _C = mix64(np.arange(101, 105, dtype=np.uint64))
 
 
-def frequent_shingles(texts: DataFrame, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted hashes of frequent shingles and the magnitude of each: local counts in a task, summed in Spark; bounded by MOST_FREQUENT."""
+def word_shingles(width: int) -> Hashes:
+    return lambda texts: shingle_hashes(*utf8_parts(texts), width)
+
+
+def frequent_shingles(texts: DataFrame, hashes: Hashes, times: int = LOCAL_TIMES, least: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes of shingles seen ``least`` times and the magnitude of each: local counts, of ``times`` in a task, summed in Spark; bounded by MOST_FREQUENT."""
+    least = FREQUENT if least is None else least
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
 
         def counted():
-            values, times = np.unique(np.concatenate(held), return_counts=True)
-            often = times >= LOCAL_TIMES
-            return pa.RecordBatch.from_arrays([pa.array(values[often].view(np.int64)), pa.array(times[often])], names=["h", "n"])
+            values, counts = np.unique(np.concatenate(held), return_counts=True)
+            often = counts >= times
+            return pa.RecordBatch.from_arrays([pa.array(values[often].view(np.int64)), pa.array(counts[often])], names=["h", "n"])
 
         for batch in batches:
-            for s in shingle_hashes(*utf8_parts(batch.column(0)), width):
+            for s in hashes(batch.column(0)):
                 held.append(s)
                 n += len(s)
                 if n >= LOCAL_SHINGLES:
@@ -74,7 +83,7 @@ def frequent_shingles(texts: DataFrame, width: int = WIDTH) -> tuple[np.ndarray,
         if n:
             yield counted()
 
-    counts = texts.mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= FREQUENT)
+    counts = texts.mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
     got = counts.orderBy(F.col("n").desc(), "h").limit(MOST_FREQUENT).toArrow()
     hashes = got["h"].to_numpy().view(np.uint64)
     order = np.argsort(hashes)
@@ -135,10 +144,53 @@ def magnitudes(sets: np.ndarray, frequent: tuple[np.ndarray, np.ndarray]) -> np.
     return np.where(heavy[at] == sets, magnitude[at], np.uint8(0))
 
 
-def sketches(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], width: int = WIDTH, similar: int = SIMILAR) -> DataFrame:
+def parity_bits(sets: np.ndarray) -> np.ndarray:
+    """The set's bit sketch: 2 * 4^(band + 1) bits (64 at least), each the parity of the shingles that hash to it."""
+    bits = max(64, 2 * 4 ** ((len(sets).bit_length() - 1) // 2 + 1))
+    odd = np.bincount((mix64(sets ^ _C[3]) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64)
+
+
+def within_hamming(pairs: DataFrame, nodes: DataFrame, similar: int = SIMILAR) -> DataFrame:
+    """The pairs (a, b) whose bit sketches differ in no more bits than linked sets can.  nodes: node, n, bits.
+
+    The shorter sketch is met by the other one folded: its parts XORed are the sketch of fewer bits.
+    """
+    both = pairs
+    for side in ("a", "b"):
+        both = both.join(nodes.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("bits").alias(f"bits_{side}")), side)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.column(2).to_numpy() + batch.column(3).to_numpy()
+            sides = []
+            for column in (batch.column(4), batch.column(5)):
+                column = column.flatten() if isinstance(column, pa.ChunkedArray) else column
+                starts = column.offsets.to_numpy()
+                sides.append((column.values.to_numpy().view(np.uint64), starts[:-1], np.diff(starts)))
+            keep = np.zeros(len(n), bool)
+            kinds, which = np.unique(np.stack((sides[0][2], sides[1][2])), axis=1, return_inverse=True)
+            for kind in range(kinds.shape[1]):
+                rows = np.flatnonzero(which.ravel() == kind)
+                words = int(kinds[:, kind].min())
+                for at in range(0, len(rows), 4096):
+                    part = rows[at : at + 4096]
+                    apart = np.zeros((len(part), words), np.uint64)
+                    for values, starts, lengths in sides:
+                        whole = values[starts[part][:, None] + np.arange(lengths[part[0]])]
+                        apart ^= np.bitwise_xor.reduce(whole.reshape(len(part), -1, words), axis=1)
+                    keep[part] = np.bitwise_count(apart).sum(axis=1) * (100 + similar) <= n[part] * (100 - similar)
+            mask = pa.array(keep)
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], names=["a", "b"])
+
+    return both.select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(run, "a long, b long")
+
+
+def sketches(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], hashes: Hashes, similar: int = SIMILAR) -> DataFrame:
     """doc_id, n, h1, h2 (together the set's identity), and words, which are left out if the task has shown an equal set.
 
-    own: how many of the words are of the set's own band; the slack of their places, and of those of the band below.
+    own: how many of the words are of the set's own band; the slack of their places, and of those of the band below;
+    bits: the set's bit sketch, where there are words.
     """
     sent = docs.sparkSession.sparkContext.broadcast(frequent)
 
@@ -146,28 +198,31 @@ def sketches(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], width: in
         known: set[tuple[int, int]] = set()
         names = ["n", "h1", "h2", "own", "slack", "slack_below"]
         for batch in batches:
-            rows, words, lengths = [], [], []
-            for s in shingle_hashes(*utf8_parts(batch.column(1)), width):
+            rows, words, lengths, bits, many = [], [], [], [], []
+            for s in hashes(batch.column(1)):
                 u = distinct(s)
                 with np.errstate(over="ignore"):
                     one, two = mix64(u).sum(dtype=np.uint64), np.bitwise_xor.reduce(mix64(u ^ _C[3]))
                 row = [len(u), int(one.view(np.int64)) if len(u) else 0, int(two.view(np.int64)) if len(u) else 0, 0, 0, 0]
-                shown = []
+                shown, sketch = [], u[:0]
                 if len(u) and (row[1], row[2]) not in known:
                     if len(known) >= REMEMBERED:
                         known.clear()
                     known.add((row[1], row[2]))
                     shown = shown_in_bands(u, magnitudes(u, sent.value), similar)
+                    sketch = parity_bits(u)
                     row[3:] = [len(shown[0][1]), shown[0][0], shown[-1][0]]
                 rows.append(row)
                 words += [w for _, w in shown]
                 lengths.append(sum(len(w) for _, w in shown))
-            flat = np.concatenate(words).view(np.int64) if words else np.zeros(0, np.int64)
+                bits.append(sketch)
+                many.append(len(sketch))
+            lists = [long_list((np.concatenate(v) if v else np.zeros(0, np.uint64)).view(np.int64), np.array(c, np.int64)) for v, c in ((words, lengths), (bits, many))]
             table = np.array(rows, np.int64).reshape(len(rows), 6)
-            arrays = [batch.column(0), *(pa.array(np.ascontiguousarray(table[:, i])) for i in range(6)), long_list(flat, np.array(lengths, np.int64))]
-            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", *names, "words"])
+            arrays = [batch.column(0), *(pa.array(np.ascontiguousarray(table[:, i])) for i in range(6)), *lists]
+            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", *names, "words", "bits"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n long, h1 long, h2 long, own long, slack long, slack_below long, words array<long>")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n long, h1 long, h2 long, own long, slack long, slack_below long, words array<long>, bits array<long>")
 
 
 def check_pairs(pairs: DataFrame, texts: DataFrame, width: int = WIDTH, similar: int = SIMILAR) -> DataFrame:
@@ -194,6 +249,19 @@ def check_pairs(pairs: DataFrame, texts: DataFrame, width: int = WIDTH, similar:
     return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
+def key_rows(made: DataFrame) -> DataFrame:
+    """key, node, size and pos (place of the key in the set's order, less the slack) of sketches."""
+    place = F.when(F.col("i") < F.col("own"), F.col("i") - F.col("slack")).otherwise(F.col("i") - F.col("own") - F.col("slack_below"))
+    rows = made.select("doc_id", "n", "own", "slack", "slack_below", F.posexplode("words").alias("i", "key"))
+    return rows.select("key", F.col("doc_id").alias("node"), F.col("n").alias("size"), place.alias("pos"))
+
+
+def finer_keys(nodes: DataFrame, hashes: Hashes, similar: int = SIMILAR) -> DataFrame:
+    """key, node, size, pos of texts (node, text) in the order that the counts among just these texts give, all of which are counted."""
+    counts = frequent_shingles(nodes.select("text"), hashes, times=1, least=2)
+    return key_rows(sketches(nodes.select(F.col("node").alias("doc_id"), "text"), counts, hashes, similar))
+
+
 def near_duplicates(docs: DataFrame, width: int = WIDTH, similar: int = SIMILAR) -> DataFrame:
     """doc_id, n_shingles and component_id (the smallest doc_id that links reach, itself included) of every row.
 
@@ -202,8 +270,9 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, similar: int = SIMILAR)
     spark = docs.sparkSession
     scratch = Scratch(spark, "ngram")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    frequent = frequent_shingles(docs.select("text"), width)
-    made = scratch.write(sketches(docs, frequent, width, similar))
+    hashes = word_shingles(width)
+    frequent = frequent_shingles(docs.select("text"), hashes)
+    made = scratch.write(sketches(docs, frequent, hashes, similar))
     real = made.where("n > 0 and doc_id is not null")
     # of equal sets the first document is linked with each other, and one that shows its words stands for all
     groups = real.groupBy("h1", "h2").agg(F.min("doc_id").alias("first"), F.min(F.when(F.size("words") > 0, F.col("doc_id"))).alias("shown"), F.count("*").alias("c"))
@@ -212,8 +281,7 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, similar: int = SIMILAR)
         groups = F.broadcast(groups)
     copies = real.select("doc_id", "h1", "h2").join(groups, ["h1", "h2"]).select(F.col("first").alias("a"), F.col("doc_id").alias("b")).where("a <> b").distinct()
     keys = real.where(F.size("words") > 0).join(groups.select("h1", "h2", "shown"), ["h1", "h2"], "left").where("shown is null or shown = doc_id")
-    place = F.when(F.col("i") < F.col("own"), F.col("i") - F.col("slack")).otherwise(F.col("i") - F.col("own") - F.col("slack_below"))
-    keys = keys.select("doc_id", "n", "own", "slack", "slack_below", F.posexplode("words").alias("i", "key")).select("key", F.col("doc_id").alias("node"), F.col("n").alias("size"), place.alias("pos"))
+    keys = key_rows(keys)
 
     def load(nodes: DataFrame) -> DataFrame:
         return semi_join(docs.select(F.col("doc_id").alias("node"), "text"), nodes, "node")
@@ -221,7 +289,15 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, similar: int = SIMILAR)
     def check(pairs: DataFrame, texts: DataFrame) -> DataFrame:
         return check_pairs(pairs, texts, width, similar).distinct()
 
-    parts = linked_components(keys, load, check, scratch, scratch.write(copies), similar=similar)
+    def sift(pairs: DataFrame) -> DataFrame:
+        return within_hamming(pairs, real.where(F.size("bits") > 0).select(F.col("doc_id").alias("node"), "n", "bits"), similar).distinct()
+
+    def finer(hot: DataFrame) -> DataFrame:
+        return finer_keys(hot, hashes, similar)
+
+    known = scratch.write(copies)
+    parts = linked_components(keys, load, check, scratch, known, similar=similar, finer=finer, sift=sift)
+    scratch.drop(known)
     if few_enough(parts):
         parts = F.broadcast(parts)
     out = made.select("doc_id", F.col("n").alias("n_shingles")).join(parts.withColumnRenamed("node", "doc_id"), "doc_id", "left")
