@@ -48,8 +48,9 @@ FILL = "\udfff"
 BANDS, ROWS = 12, 4
 #: Characters hashed together, and lines that a task remembers to have signed.
 TOGETHER, REMEMBERED = 1 << 18, 1_000_000
+#: Mask of the digits of a line's hash that the sieve tells apart: a bitmap of 16 MB.
+SIEVE = (1 << 27) - 1
 
-_XOR = (mix64(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32)
 _ODD = (mix64(np.arange(1001, BANDS * ROWS + 1001, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 
 
@@ -100,8 +101,7 @@ def signatures(lines: list[str]) -> np.ndarray:
     low = np.empty((BANDS * ROWS, len(lines)), np.uint64)
     held = np.empty_like(h)
     for k in range(BANDS * ROWS):
-        np.bitwise_xor(h, _XOR[k], out=held)
-        np.multiply(held, _ODD[k], out=held)
+        np.multiply(h, _ODD[k], out=held)
         low[k] = np.minimum.reduceat(held, starts[:-1])
     out = np.empty((len(lines), BANDS), np.uint64)
     for b in range(BANDS):
@@ -112,11 +112,13 @@ def signatures(lines: list[str]) -> np.ndarray:
     return out
 
 
-def lines_of(docs: DataFrame, signed: bool, least: int = LEAST) -> DataFrame:
-    """doc_id, line_no, h, and the line's bands (none if the task has signed it) or, not signed, its text."""
+def lines_of(docs: DataFrame, signed: bool, least: int = LEAST, sieve: np.ndarray | None = None) -> DataFrame:
+    """doc_id, line_no, h, and the line's bands (none if the task has signed it) or, not signed, its text; of the lines that pass the sieve."""
+    sent = docs.sparkSession.sparkContext.broadcast(sieve)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: set[int] = set()
+        sieve = sent.value
         for batch in batches:
             ids = batch.column(0).to_pylist()
             doc, number, hashes, texts, new, size = [], [], [], [], [], 0
@@ -144,6 +146,8 @@ def lines_of(docs: DataFrame, signed: bool, least: int = LEAST) -> DataFrame:
                     if len(line) < max(least, 1):
                         continue
                     h = line_hash(line)
+                    if sieve is not None and not sieve[(h & SIEVE) >> 3] >> (h & 7) & 1:
+                        continue
                     if h not in known:
                         if len(known) >= REMEMBERED:
                             known.clear()
@@ -166,9 +170,19 @@ def lines_of(docs: DataFrame, signed: bool, least: int = LEAST) -> DataFrame:
     return docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), "text").mapInArrow(run, f"doc_id long, line_no int, h long, {last}")
 
 
+def sieve_of(nodes: DataFrame) -> np.ndarray:
+    """A bitmap of fixed size with a bit for the last digits of each node."""
+    bit = F.col("node").bitwiseAND(F.lit(SIEVE))
+    maps = nodes.groupBy(F.shiftright(bit, 15).alias("part")).agg(F.bitmap_construct_agg(bit.bitwiseAND(F.lit(32767))).alias("bits")).toArrow()
+    out = np.zeros((SIEVE + 1 >> 15, 4096), np.uint8)
+    for part, bits in zip(maps["part"].to_pylist(), maps["bits"].to_pylist(), strict=True):
+        out[part] = np.frombuffer(bits, np.uint8)
+    return out.ravel()
+
+
 def lines_of_nodes(docs: DataFrame, nodes: DataFrame, least: int = LEAST) -> DataFrame:
-    """node, line: the lines whose hash is a node."""
-    lines = lines_of(docs, False, least).select(F.col("h").alias("node"), "line")
+    """node, line: the lines whose hash is a node.  A task lets by what the sieve does not hold; the join is exact."""
+    lines = lines_of(docs, False, least, sieve_of(nodes)).select(F.col("h").alias("node"), "line")
     return semi_join(lines, nodes, "node").groupBy("node").agg(F.first("line").alias("line"))
 
 

@@ -124,7 +124,7 @@ def bucket_pairs(rows: DataFrame, small: int = SMALL, similar: int = SIMILAR) ->
                 yield star(first, [c[large] for c in cols])
 
         for batch in batches:
-            cols = [batch.column(i).to_numpy() for i in range(4)]
+            cols = [batch.column(i).to_numpy() if i < len(names) else np.zeros(batch.num_rows, np.int64) for i in range(4)]
             if pivot is not None:
                 end = int(np.searchsorted(cols[0], pivot[0], "right"))
                 if end:
@@ -145,10 +145,9 @@ def bucket_pairs(rows: DataFrame, small: int = SMALL, similar: int = SIMILAR) ->
             held = [c[begin:] for c in cols]
         yield from flush(held)
 
-    if "size" not in rows.columns:
-        rows = rows.select("key", "node", F.lit(0).cast("long").alias("size"), F.lit(0).cast("long").alias("pos"))
-    rows = rows.select("key", "node", F.col("size").cast("long").alias("size"), F.col("pos").cast("long").alias("pos"))
-    return rows.repartition("key").sortWithinPartitions("key", "node", "size", "pos").mapInArrow(run, "key long, a long, b long, size long, pos long")
+    names = [c for c in ("key", "node", "size", "pos") if c in rows.columns]
+    rows = rows.select(*(F.col(c).cast("long").alias(c) for c in names))
+    return rows.repartition("key").sortWithinPartitions(*names).mapInArrow(run, "key long, a long, b long, size long, pos long")
 
 
 def _in_two(pairs: DataFrame, parts: DataFrame) -> DataFrame:

@@ -11,8 +11,8 @@ sketches itself for the band below if a partner can be there.  The sketch is spa
 words for each shingle of the band's smallest set): few shingles share a word, and a word that
 stands for one shingle differs only if the partner lacks the shingle, or holds another in the
 same word.  So of a document's non-empty words at most those of its shingles that the partner
-lacks differ, besides as many as there are shingles in shared words (``slack``; a set with
-more of them than the band allows shows its shingles alone).  It is enough that a document
+lacks differ, besides as many as shingles share words (``slack``; a set with more of them
+than the band allows shows its shingles alone, and finds those of its partner alone or not).  It is enough that a document
 shows one more than that of its words in an order that all documents share: of two linked
 documents the first word that they have in common is among those of both, and its place in
 either tells whether they can still link (``linking.may_link``).  The order goes by how
@@ -64,6 +64,7 @@ def word_shingles(width: int) -> Hashes:
 def frequent_shingles(texts: DataFrame, hashes: Hashes, times: int = LOCAL_TIMES, least: int | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Sorted hashes of shingles seen ``least`` times and the magnitude of each: local counts, of ``times`` in a task, summed in Spark; bounded by MOST_FREQUENT."""
     least = FREQUENT if least is None else least
+    most = LOCAL_SHINGLES if times > 1 else LOCAL_SHINGLES >> 4  # of all counts there are as many rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
@@ -77,7 +78,7 @@ def frequent_shingles(texts: DataFrame, hashes: Hashes, times: int = LOCAL_TIMES
             for s in hashes(batch.column(0)):
                 held.append(s)
                 n += len(s)
-                if n >= LOCAL_SHINGLES:
+                if n >= most:
                     yield counted()
                     held, n = [], 0
         if n:
@@ -92,7 +93,7 @@ def frequent_shingles(texts: DataFrame, hashes: Hashes, times: int = LOCAL_TIMES
 
 def _slack(band: int) -> int:
     """How many of a set's shingles may share a word in a band before it shows them alone."""
-    return 1 + 4 ** (band + 1) // 2048
+    return 4 ** (band + 1) // 2048
 
 
 def sketch_words(sets: np.ndarray, frequent: np.ndarray, band: int, least: int, similar: int = SIMILAR) -> np.ndarray:
@@ -110,8 +111,8 @@ def sketch_words(sets: np.ndarray, frequent: np.ndarray, band: int, least: int,
             block, words, late = block[starts], np.bitwise_xor.reduceat(words, starts), np.minimum.reduceat(late, starts)
     with np.errstate(over="ignore"):
         words = mix64(words ^ mix64(block * _C[1] + np.uint64(band) * _C[2]))
-    # shingles that the smallest partner lacks, those in shared words of either, and one more
-    show = n - -(-similar * (n + least) // (100 + similar)) + 2 * _slack(band) + 1
+    # shingles that the smallest partner lacks, those in shared words, and one more
+    show = n - -(-similar * (n + least) // (100 + similar)) + _slack(band) + 1
     rank = (words >> np.uint64(6)) | (late.astype(np.uint64) << np.uint64(58))
     if show < len(words):
         some = np.argpartition(rank, show - 1)[:show]
@@ -120,13 +121,13 @@ def sketch_words(sets: np.ndarray, frequent: np.ndarray, band: int, least: int,
 
 
 def shown_in_bands(sets: np.ndarray, frequent: np.ndarray, similar: int = SIMILAR) -> list[tuple[int, np.ndarray]]:
-    """(slack of both sides, words in order) of a set, in its own band and, where a partner can be there, the one below."""
+    """(slack, words in order) of a set, in its own band and, where a partner can be there, the one below."""
     n = len(sets)
     band = (n.bit_length() - 1) // 2
     least = -(-n * similar // 100)  # the smallest partner
-    out = [(2 * _slack(band), sketch_words(sets, frequent, band, max(least, 4**band), similar))]
+    out = [(_slack(band), sketch_words(sets, frequent, band, max(least, 4**band), similar))]
     if least < 4**band:
-        out.append((2 * _slack(band - 1), sketch_words(sets, frequent, band - 1, least, similar)))
+        out.append((_slack(band - 1), sketch_words(sets, frequent, band - 1, least, similar)))
     return out
 
 
@@ -173,8 +174,8 @@ def within_hamming(pairs: DataFrame, nodes: DataFrame, similar: int = SIMILAR) -
             for kind in range(kinds.shape[1]):
                 rows = np.flatnonzero(which.ravel() == kind)
                 words = int(kinds[:, kind].min())
-                for at in range(0, len(rows), 4096):
-                    part = rows[at : at + 4096]
+                for at in range(0, len(rows), 1024):
+                    part = rows[at : at + 1024]
                     apart = np.zeros((len(part), words), np.uint64)
                     for values, starts, lengths in sides:
                         whole = values[starts[part][:, None] + np.arange(lengths[part[0]])]
