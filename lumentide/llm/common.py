@@ -87,6 +87,22 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def with_row_ids(docs: DataFrame, name: str) -> DataFrame:
+    """docs with ``name``: the doc_id where it is there and no other row has it, else a hash of the row's id and text from 2^62 on.
+
+    So rows without doc_id and rows that share one are told apart, and rows repeated as a whole have one id.
+    """
+    several = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
+    made = F.xxhash64("doc_id", "text").bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
+    odd = F.col("doc_id").isNull()
+    if not several.limit(1).count():
+        return docs.withColumn(name, F.when(odd, made).otherwise(F.col("doc_id").cast("long")))
+    mark = free_name(docs, "several")
+    several = several.withColumn(mark, F.lit(True))
+    both = docs.join(F.broadcast(several) if few_enough(several) else several, "doc_id", "left")
+    return both.withColumn(name, F.when(odd | F.col(mark).isNotNull(), made).otherwise(F.col("doc_id").cast("long"))).select(*docs.columns, name)
+
+
 def semi_join(big: DataFrame, keys: DataFrame, on: str) -> DataFrame:
     """Rows of big whose key is in keys (unique): a broadcast behind a size check, else a shuffle."""
     return big.join(F.broadcast(keys) if few_enough(keys) else keys, on, "left_semi")

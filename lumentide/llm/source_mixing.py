@@ -81,14 +81,18 @@ def when_due(reached: Column, kind: Column, schedules: tuple[tuple[float, float]
 
 
 def mix_sources(docs: DataFrame, keep: tuple[str, ...] = (), weights: tuple[int, ...] = WEIGHTS, schedules: tuple[tuple[float, float], ...] = SCHEDULES, most_passes: int = MOST_PASSES) -> DataFrame:
-    """doc_id, source, size, source_size, target, taken, passes, position, and ``keep``, in the order of position.
+    """doc_id, source, size, source_size, target, taken, passes, position, and ``keep`` (a name that these have becomes kept_ and the name), in the order of position.
 
     docs: doc_id, text, source.  taken: words that the mix takes of the document, repeats counted;
     passes: how often it is begun; position: when it is begun first.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "mix")
-    sizes = scratch.write(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), *keep))
+    # kept columns travel under names of their own, and keep theirs in the end but where the result has it
+    results = ["doc_id", "source", "size", "source_size", "target", "taken", "passes", "position"]
+    held = [f"kept {i}" for i in range(len(keep))]
+    kept_names = [f"kept_{c}" if c.lower() in results else c for c in keep]
+    sizes = scratch.write(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), *(F.col(c).alias(h) for c, h in zip(keep, held, strict=True))))
     targets = scratch.write(source_targets(sizes, weights, most_passes))
     largest = targets.agg(F.max("n_docs")).first()[0] or 0
     digits = 2
@@ -112,7 +116,7 @@ def mix_sources(docs: DataFrame, keep: tuple[str, ...] = (), weights: tuple[int,
     out = rows.withColumn("taken", taken.cast("long")).withColumn("passes", passes.cast("int"))
     due = when_due(F.col("start").cast("double") / F.col("target"), F.col("kind"), schedules)
     out = out.withColumn("position", F.when(F.col("taken") > 0, due))
-    return out.select("doc_id", "source", "size", "source_size", "target", "taken", "passes", "position", *keep).orderBy(F.col("position").asc_nulls_last(), "doc_id", "size")
+    return out.select("doc_id", "source", "size", "source_size", "target", "taken", "passes", "position", *(F.col(f"`{h}`").alias(c) for c, h in zip(kept_names, held, strict=True))).orderBy(F.col("position").asc_nulls_last(), "doc_id", "size")
 
 
 ORACLE = """

@@ -10,12 +10,17 @@ vectors can still enter the query's best k; these possible members are scored ex
 the result is exact.  A task carries each query's best k from block to block, which lifts
 the bar for later blocks.
 
-Queries go in chunks of ``QUERIES_A_CHUNK``; the index is written once and read for each.
+Queries go in chunks of ``QUERIES_A_CHUNK``, a job for each, which appends its result to a
+table; the index is written once and read for each.
+
+Products are sums of integers below 2^53 for components up to ``NARROW``; rows and queries
+with larger ones are scored in integers of any size.
 
 Semantics: a vector that is null or holds a null or non-finite component takes no part, as
-query or candidate; shorter vectors count as padded with zeros; scaled components saturate
-at +-2^26.  A query is one vec_id (of repeated ids the smallest vector); its candidates are
-the rows of other ids, repeated rows each for itself.  Null ids take no part.
+query or candidate; shorter vectors count as padded with zeros; an empty vector scores 0.
+Scaled components beyond +-2^62 and scores that no long holds stop at the nearest long.
+Each row is a query or candidate of its own, also where a vec_id repeats; only the query's own
+row is no candidate.  Null ids take no part.  No rows or queries give no rows.
 """
 
 from __future__ import annotations
@@ -36,7 +41,10 @@ BLOCK, SEGMENTS, STRIDE = 16_384, 4, 24
 FEW = 0.1
 #: Queries that are broadcast at once: at 64 components of 8 bytes, 2 MB.
 QUERIES_A_CHUNK = 4_096
-_BOUND = 1 << 26
+#: Up to it, products of 512 components sum up below 2^53.
+NARROW = 1 << 22
+_BOUND = 1 << 62
+_LONG = (1 << 63) - 1
 
 
 def scaled(embedding: Column, scale: int = SCALE) -> Column:
@@ -103,11 +111,6 @@ class Block:
         return max((x for x in (here, floor) if x is not None), default=None)
 
 
-def best(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    order = np.lexsort((ids, -scores))[:k]
-    return ids[order], scores[order]
-
-
 def _padded(lists: pa.ListArray, dims: int) -> np.ndarray:
     lengths = lists.value_lengths().to_numpy(zero_copy_only=False)
     flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64, copy=False)
@@ -119,51 +122,72 @@ def _padded(lists: pa.ListArray, dims: int) -> np.ndarray:
     return out
 
 
+def wide_scores(matrix: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Exact inner products in Python's integers, held to what a long can hold."""
+    return np.array([min(max(int(x), -_LONG - 1), _LONG) for x in matrix.astype(object) @ query.astype(object)], np.int64)
+
+
 def top_k(vectors: DataFrame, queries: Column, k: int = 10, vec_id: str = "vec_id", embedding: str = "embedding", scale: int = SCALE) -> DataFrame:
     """query_id, rank, vec_id, score: the k highest scores of each row for which ``queries`` holds."""
     spark = vectors.sparkSession
     scratch = Scratch(spark, "topk")
-    base = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), scaled(F.col(embedding), scale).alias("v"), queries.alias("asks")).where("vec_id is not null and v is not null")
-    index = scratch.write(base)
-    facts = index.agg(F.max(F.size("v")).alias("dims"), F.countDistinct(F.when(F.col("asks"), F.col("vec_id"))).alias("n")).first()
+    base = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), scaled(F.col(embedding), scale).alias("v"), F.coalesce(queries, F.lit(False)).alias("asks")).where("vec_id is not null and v is not null")
+    index = scratch.write(base.withColumn("row", F.monotonically_increasing_id()))  # written, so a row's number stays
+    facts = index.agg(F.max(F.size("v")).alias("dims"), F.count(F.when(F.col("asks"), 1)).alias("n")).first()
     dims, chunks = facts["dims"] or 0, -(-(facts["n"] or 0) // QUERIES_A_CHUNK)
-    schema = "query_id long, vec_id long, score long"
-    found = spark.createDataFrame([], schema)
-    asked = index.where("asks").groupBy("vec_id").agg(F.min("v").alias("v"))
+    schema = "query_row long, query_id long, vec_id long, score long"
+    parts = []
     for c in range(chunks):
-        part = asked.where(F.pmod(F.xxhash64("vec_id"), F.lit(chunks)) == c).toArrow()
-        sent = spark.sparkContext.broadcast((part["vec_id"].to_numpy(), _padded(part["v"].combine_chunks(), dims)))
+        chunk = index.where(F.col("asks") & (F.pmod(F.xxhash64("row"), F.lit(chunks)) == c)).select("row", "vec_id", "v").toArrow()
+        sent = spark.sparkContext.broadcast((chunk["row"].to_numpy(), chunk["vec_id"].to_numpy(), _padded(chunk["v"].combine_chunks(), dims)))
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            asks, rows = sent.value
-            held = [(np.zeros(0, np.int64), np.zeros(0, np.int64)) for _ in asks]
-
-            def take(ids: np.ndarray, matrix: np.ndarray) -> None:
-                block = Block(ids, matrix)
+            asks, names, rows = sent.value
+            # rows, scores and ids of each query's best so far
+            held = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)) for _ in asks]
+            narrow_query = (np.abs(rows) <= NARROW).all(axis=1) & (dims <= 512)
+
+            def keep(i: int, row: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> None:
+                other = row != asks[i]
+                row, scores, ids = (np.r_[h, x[other]] for h, x in zip(held[i], (row, scores, ids), strict=True))
+                order = np.lexsort((row, ids, ~scores))[:k]  # ~x falls as x rises, and no long overflows
+                held[i] = row[order], scores[order], ids[order]
+
+            def take(row: np.ndarray, ids: np.ndarray, matrix: np.ndarray) -> None:
+                narrow = (np.abs(matrix) <= NARROW).all(axis=1)
+                block = Block(row[narrow], matrix[narrow]) if narrow.any() else None
                 for i, (own, q) in enumerate(zip(asks.tolist(), rows, strict=True)):
-                    known, scores = held[i]
-                    left = block.search(q, own, k, int(scores[-1]) if len(scores) >= k else None)
-                    left = left[block.ids[left] != own]
-                    held[i] = best(np.r_[known, block.ids[left]], np.r_[scores, block.vectors[left] @ q], k)
-
-            wait_ids, wait_rows, waiting = [], [], 0
+                    if not narrow_query[i]:
+                        keep(i, row, ids, wide_scores(matrix, q))
+                        continue
+                    if block is not None:
+                        scores = held[i][1]
+                        left = block.search(q, own, k, int(scores[-1]) if len(scores) >= k else None)
+                        keep(i, block.ids[left], ids[narrow][left], block.vectors[left] @ q)
+                    if not narrow.all():
+                        keep(i, row[~narrow], ids[~narrow], wide_scores(matrix[~narrow], q))
+
+            waiting, n = [], 0
             for batch in batches:
-                ids, matrix = batch.column(0).to_numpy(), _padded(batch.column(1), dims)
-                for i in range(0, len(ids), BLOCK):
-                    wait_ids.append(ids[i : i + BLOCK])
-                    wait_rows.append(matrix[i : i + BLOCK])
-                    waiting += len(wait_ids[-1])
-                    if waiting >= BLOCK:
-                        take(np.concatenate(wait_ids), np.concatenate(wait_rows))
-                        wait_ids, wait_rows, waiting = [], [], 0
-            if waiting:
-                take(np.concatenate(wait_ids), np.concatenate(wait_rows))
-            sizes = np.array([len(x) for x, _ in held], np.int64)
+                cols = batch.column(0).to_numpy(), batch.column(1).to_numpy(), _padded(batch.column(2), dims)
+                for i in range(0, len(cols[0]), BLOCK):
+                    waiting.append([x[i : i + BLOCK] for x in cols])
+                    n += len(waiting[-1][0])
+                    if n >= BLOCK:
+                        take(*(np.concatenate(x) for x in zip(*waiting, strict=True)))
+                        waiting, n = [], 0
+            if n:
+                take(*(np.concatenate(x) for x in zip(*waiting, strict=True)))
+            sizes = np.array([len(h[0]) for h in held], np.int64)
             if sizes.sum():
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(asks, sizes)), pa.array(np.concatenate([x for x, _ in held])), pa.array(np.concatenate([s for _, s in held]))], names=["query_id", "vec_id", "score"])
-
-        found = found.unionByName(index.select("vec_id", "v").mapInArrow(run, schema)) if c else index.select("vec_id", "v").mapInArrow(run, schema)
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
+                arrays = [np.repeat(asks, sizes), np.repeat(names, sizes), np.concatenate([h[2] for h in held]), np.concatenate([h[1] for h in held])]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], names=["query_row", "query_id", "vec_id", "score"])
+
+        parts.append(scratch.write(index.select("row", "vec_id", "v").mapInArrow(run, schema)))
+        sent.destroy()
+    scratch.drop(index)
+    found = spark.read.schema(schema).parquet(*(x._scratch_path for x in parts)) if parts else spark.createDataFrame([], schema)
+    rank = F.row_number().over(Window.partitionBy("query_row").orderBy(F.col("score").desc(), "vec_id"))
     return found.withColumn("rank", rank.cast("int")).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 

@@ -166,7 +166,9 @@ def train(docs: DataFrame, labels: DataFrame, positives: int = MOST_POSITIVES, u
     p = ids.join(toxic, "doc_id", "left_semi").orderBy(by_hash, "doc_id").limit(positives).distinct().withColumn("positive", F.lit(True))
     u = ids.join(toxic, "doc_id", "left_anti").orderBy(by_hash, "doc_id").limit(unlabelled).distinct().withColumn("positive", F.lit(False))
     drawn = scratch.write(p.unionByName(u))  # at most positives + unlabelled ids, so it may be broadcast
-    sample = scratch.write(docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id").select("positive", "text"))
+    # one row of each drawn id, so that rows are bounded as ids are
+    sample = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id").groupBy("doc_id", "positive").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    sample = scratch.write(sample.select("positive", "text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((2, 1 << BUCKET_BITS), np.int64)
@@ -212,15 +214,31 @@ def train(docs: DataFrame, labels: DataFrame, positives: int = MOST_POSITIVES, u
     return Model(place, weights, bias)
 
 
+def _logits(use: Model, column: pa.Array) -> np.ndarray:
+    return np.concatenate([use.logits(text, bucket, words) for _, _, text, bucket, words in feature_runs(column)] or [np.zeros(0)])
+
+
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, held_out, score (0 to 1), predicted of every row of docs (doc_id, text)."""
     sent = docs.sparkSession.sparkContext.broadcast(Model(model.place.astype(np.int16), model.weights, model.bias))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        use = sent.value
         for batch in batches:
-            z = np.concatenate([use.logits(text, bucket, words) for _, _, text, bucket, words in feature_runs(batch.column(1))] or [np.zeros(0)])
+            z = _logits(sent.value, batch.column(1))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(1 / (1 + np.exp(-np.clip(z, -40, 40))))], names=["doc_id", "score"])
 
     out = docs.select("doc_id", "text").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, score double")
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def without_toxic(docs: DataFrame, model: Model) -> DataFrame:
+    """docs less each row whose text is predicted toxic, whatever its doc_id."""
+    sent = docs.sparkSession.sparkContext.broadcast(Model(model.place.astype(np.int16), model.weights, model.bias))
+    body, names = docs.columns.index("text"), docs.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            z = _logits(sent.value, batch.column(body))
+            yield pa.RecordBatch.from_arrays(batch.columns, names=names).filter(pa.array(1 / (1 + np.exp(-np.clip(z, -40, 40))) < 0.5))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -1,5 +1,5 @@
 import random
-from itertools import combinations
+from collections import Counter
 
 import numpy as np
 
@@ -7,8 +7,12 @@ from lumentide.llm import line_dedup as L
 from lumentide.llm.line_dedup import fuzzy_lines, normal, signatures, without_lines
 
 
+def shingles(x):
+    return {x[i : i + 8] for i in range(len(x) - 7)} or {(x,)}  # a shorter line is one shingle, of its own
+
+
 def alike(a, b):
-    p, q = ({x[i : i + 8] for i in range(len(x) - 7)} or {(x,)} for x in (a, b))  # a shorter line is one shingle, of its own
+    p, q = shingles(a), shingles(b)
     return 100 * len(p & q) >= 75 * len(p | q)
 
 
@@ -26,9 +30,14 @@ def brute(rows):
             x = parent[x]
         return x
 
-    for a, b in combinations(places, 2):
-        if min(len(a), len(b)) > 0.7 * max(len(a), len(b)) and find(a) != find(b) and alike(a, b):
-            parent[find(a)] = find(b)
+    holders, sets = {}, {}
+    for a in places:  # how many shingles each earlier line shares with it
+        sets[a] = shingles(a)
+        for b, n in Counter(b for x in sets[a] for b in holders.get(x, ())).items():
+            if 100 * n >= 75 * (len(sets[a]) + len(sets[b]) - n):
+                parent[find(a)] = find(b)
+        for x in sets[a]:
+            holders.setdefault(x, []).append(a)
     first = {}
     for x, at in places.items():
         first[find(x)] = min([first.get(find(x), (1 << 60, 0)), *at])

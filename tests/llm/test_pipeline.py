@@ -53,6 +53,22 @@ def test_run_survives_odd_tables(spark, tmp_path):
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([(3, 0, None)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
-    assert sorted(str(r.doc_id) for r in corpus_pipeline.run(spark, str(tmp_path)).collect()) == ["1", "2", "3", "3", "4", "None"]
+    assert sorted(str(r.doc_id) for r in corpus_pipeline.run(spark, str(tmp_path)).collect()) == ["1", "2", "3", "4", "None"]
     spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.mode("overwrite").parquet(f"{tmp_path}/documents.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_decisions_hold_for_rows_without_id_and_for_rows_that_share_one(spark, tmp_path):
+    item = "which of these four planets is the third one from the sun, and how long does it take to go round it"
+    x, own = "a line that two of them share, long enough to be told apart", "a unique line that has to stay, of document five and of no other"
+    copy = "seven words that stand here only twice, and then some more of them so that it is a document"
+    rows = [(1, x), (5, x), (5, own), (6, copy), (6, copy), (None, copy + " "), (None, f"so {item} then"), (9, f"and {item} again"), (None, "one more document without an id, of which nothing is to be lost")]
+    docs = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, row int")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+    left = lambda name, d: sorted(((r.doc_id, r.text) for r in stages[name](spark, d, str(tmp_path)).collect()), key=str)
+    key = lambda some: sorted(some, key=str)
+    assert left("decontamination", docs) == key(rows[:6] + rows[8:])
+    got = left("near_duplicates", docs)
+    assert [r for r in got if "seven words" not in r[1]] == key([rows[0], rows[2], rows[7], rows[8]]) and len(got) == 5
+    assert left("line_dedup", docs.where("doc_id is null or doc_id < 6")) == key([rows[0], rows[2], *rows[5:7], rows[8]])
