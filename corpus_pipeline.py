@@ -3,13 +3,17 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; it is written as Parquet and
 read again as the next one's docs.  All but the last return the columns of ``documents``.
 
-* toxicity: a classifier trained on the labels scores every document; those it rejects go.
-* line_dedup: of alike lines the first stays; a document left without text goes.
+* toxicity: a classifier trained on the labels scores every row; those it rejects go.
+* line_dedup: of alike lines the first stays; a row left without text goes.
 * near_duplicates: of each component of documents with similar word shingles the first stays.
-* decontamination: documents that hold a window of a benchmark item go.
+* decontamination: rows that hold a window of a benchmark item go.
 * mixing: the last stage gives each document its words taken and its training position.
 
-Rows without doc_id can be linked with nothing and pass the middle stages unchanged.
+Every row is decided by itself, also where it has no doc_id or shares one: the first and fourth
+stage filter rows, and the second and third know such rows by a hash of id and text; of rows
+repeated as a whole one stays after the third stage.  Null and empty texts pass all stages;
+very long texts are handled whole.  Columns of any other name pass through, whatever they are
+called; empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -20,24 +24,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumentide.llm import decontamination, line_dedup, ngram_join, source_mixing, toxicity
-from lumentide.llm.common import Scratch, table, tune
+from lumentide.llm.common import Scratch, few_enough, free_name, table, tune, with_row_ids
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    return docs.join(ids, "doc_id", "left_anti")
-
-
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     tune(spark)
-    scores = toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
-    return _without(docs, scores.where("predicted = 1 and doc_id is not null").select("doc_id").distinct())
+    return toxicity.without_toxic(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines of rows without doc_id take part by a hash of their text, after those of all others."""
     tune(spark)
-    out = line_dedup.without_lines(docs, line_dedup.fuzzy_lines(docs))
+    row = free_name(docs, "row")
+    named = with_row_ids(docs, row)
+    given = named.select(F.col(row).alias("doc_id"), "text")
+    lines = line_dedup.fuzzy_lines(given)
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    own = free_name(docs, "own_id")
+    whole = named.select(F.col(row).alias("doc_id"), "text", F.col("doc_id").alias(own), *rest)
+    out = line_dedup.without_lines(whole, lines).select(*(F.col(own).alias(c) if c == "doc_id" else F.col(c) for c in docs.columns))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out
@@ -45,14 +52,22 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     tune(spark)
-    parts = ngram_join.near_duplicates(docs)
-    return _without(docs, parts.where("component_id <> doc_id").select("doc_id").distinct())
+    row = free_name(docs, "row")
+    named = with_row_ids(docs, row)
+    parts = ngram_join.near_duplicates(named.select(F.col(row).alias("doc_id"), "text"))
+    gone = parts.where("component_id <> doc_id").select(F.col("doc_id").alias(row)).distinct()
+    left = named.join(F.broadcast(gone) if few_enough(gone) else gone, row, "left_anti")
+    # rows with an id that is theirs alone stay as they are; of those repeated as a whole one does
+    alone = F.coalesce(F.col(row) == F.col("doc_id"), F.lit(False))
+    others = left.where(~alone)
+    if others.limit(1).count():
+        left = left.where(alone).unionByName(others.dropDuplicates([row]))
+    return left.select(*docs.columns)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     tune(spark)
-    found = decontamination.leaks(docs, table(spark, sf_dir, "benchmark"))
-    return _without(docs, found.where("doc_id is not null").select("doc_id").distinct())
+    return decontamination.without_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
