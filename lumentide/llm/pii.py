@@ -11,11 +11,17 @@ spans are fixed by rule and always stay; selected spans that overlap no base spa
 one are added.
 
 All work on rows is DataFrame functions.  Texts are read once, by patterns that run in linear
-time (possessive, and anchored where a run begins).  Features are small integers, so the training
-rows are counted by feature vector in Spark and the trees grow on those few counts.
+time (possessive, and anchored where a run begins).  Matches are rows from there on: their places
+and overlaps come from running sums and maxima in windows over a text's matches, so the time
+grows with a text's matches and not with their square.  Features are small integers, so the
+training rows are counted by feature vector in Spark and the trees grow on those few counts.
+
+A few made-up counts (``PRIOR``) go with those of the corpus, by which a candidate glued to what
+stands before it is a lookalike and one that stands alone is real; they decide where the corpus
+has no candidates of one of the classes, and weigh nothing where it has many.
 
 Semantics: a null text is empty; positions are code points, ends exclusive; rows that repeat are
-documents of their own; without candidates, or with candidates of one class only, no span is added.
+documents of their own.
 """
 
 from __future__ import annotations
@@ -23,7 +29,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lumentide.llm.common import Scratch
@@ -105,50 +111,53 @@ FEATURES = ("generator", "valid", "digits", "groups", "cue", "glued", "letters",
 LEARNT = tuple(f for f in FEATURES if f not in ("generator", "valid"))
 
 
-def _described(pieces: Column, matches: Column, number: int) -> Column:
-    """The candidates with positions and features, from the pieces between matches and the matches."""
-    kind = GENERATORS[number][0]
-    pairs = F.arrays_zip(pieces.alias("p"), matches.alias("m"))
-    pairs = F.filter(pairs, lambda x: x["m"].isNotNull())
-    # running positions as one growing string: linear in matches but for the copy
-    run = F.aggregate(
-        pairs,
-        F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
-        lambda a, x: F.struct((a["at"] + F.length(x["p"]) + F.length(x["m"])).alias("at"), F.concat(a["out"], (a["at"] + F.length(x["p"])).cast("string"), F.lit(",")).alias("out")),
-    )["out"]
-    starts = F.split(run, ",")
-
-    def described(x: Column, i: Column) -> Column:
-        s, before = x["m"], F.lower(F.right(x["p"], F.lit(BEFORE)))
-        start = F.get(starts, i).cast("int")
-        n = F.length(_digits(s))
-        return F.struct(
-            F.lit(KINDS.index(kind)).alias("kind"),
-            start.alias("start"),
-            (start + F.length(s)).alias("end"),
-            F.lit(number < len(BASE)).alias("base"),
-            F.lit(number).alias("generator"),
-            _valid(kind, s).cast("int").alias("valid"),
-            F.least(n, F.lit(20)).alias("digits"),
-            F.least(F.size(F.split(s, "[^A-Za-z0-9]+")), F.lit(9)).alias("groups"),
-            before.rlike(CUES).cast("int").alias("cue"),
-            before.rlike(r"[A-Za-z0-9_=/#]$").cast("int").alias("glued"),
-            s.rlike("[A-Za-z]").cast("int").alias("letters"),
-            s.rlike(r"\s").cast("int").alias("wide"),
-        )
-
-    return F.transform(pairs, described)
-
-
-def candidates(docs: DataFrame) -> DataFrame:
-    """docs' doc_id with the array of all candidates of the text."""
+def _matches(docs: DataFrame) -> DataFrame:
+    """row (a number of its own), doc_id and hits: generator, i (its how many-eth), skipped (characters since the one before), s (the match), before."""
     text = F.coalesce(F.col("text"), F.lit(""))
     out = docs.select("doc_id", text.alias("text"))
     n = range(len(GENERATORS))
     out = out.select("doc_id", "text", *[_found(F.col("text"), i).alias(f"m{i}") for i in n])
     # a text is only cut into pieces where there is a match
     out = out.select("doc_id", *[f"m{i}" for i in n], *[F.when(F.size(f"m{i}") > 0, F.split("text", GENERATORS[i][1], -1)).otherwise(F.array().cast("array<string>")).alias(f"p{i}") for i in n])
-    return out.select("doc_id", F.concat(*[_described(F.col(f"p{i}"), F.col(f"m{i}"), i) for i in n]).alias("c"))
+
+    def hits(g: int) -> Column:
+        pairs = F.filter(F.arrays_zip(F.col(f"p{g}").alias("p"), F.col(f"m{g}").alias("m")), lambda x: x["m"].isNotNull())
+        return F.transform(pairs, lambda x, i: F.struct(F.lit(g).alias("generator"), i.alias("i"), F.length(x["p"]).cast("long").alias("skipped"), x["m"].alias("s"), F.lower(F.right(x["p"], F.lit(BEFORE))).alias("before")))
+
+    return out.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.concat(*map(hits, n)).alias("hits"))
+
+
+def _described(matches: DataFrame) -> DataFrame:
+    """row, doc_id, kind, start, end, base and features of each match."""
+    rows = matches.select("row", "doc_id", F.inline("hits"))
+    along = Window.partitionBy("row", "generator").orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    end = F.sum(F.col("skipped") + F.length("s")).over(along)
+    kinds = F.element_at(F.array(*[F.lit(KINDS.index(kind)) for kind, _, _ in GENERATORS]), F.col("generator") + 1)
+    valid = F.lit(False)
+    for k, kind in enumerate(KINDS):
+        valid = F.when(F.col("kind") == k, _valid(kind, F.col("s"))).otherwise(valid)
+    rows = rows.withColumn("end", end).withColumn("kind", kinds)
+    return rows.select(
+        "row",
+        "doc_id",
+        "kind",
+        (F.col("end") - F.length("s")).alias("start"),
+        "end",
+        (F.col("generator") < len(BASE)).alias("base"),
+        "generator",
+        valid.cast("int").alias("valid"),
+        F.least(F.length(_digits(F.col("s"))), F.lit(20)).alias("digits"),
+        F.least(F.size(F.split("s", "[^A-Za-z0-9]+")), F.lit(9)).alias("groups"),
+        F.col("before").rlike(CUES).cast("int").alias("cue"),
+        F.col("before").rlike(r"[A-Za-z0-9_=/#]$").cast("int").alias("glued"),
+        F.col("s").rlike("[A-Za-z]").cast("int").alias("letters"),
+        F.col("s").rlike(r"\s").cast("int").alias("wide"),
+    )
+
+
+def candidates(docs: DataFrame) -> DataFrame:
+    """A row for each candidate of docs (doc_id, text)."""
+    return _described(_matches(docs))
 
 
 @dataclass
@@ -243,16 +252,19 @@ def calibrate(model: Model, counts: list[tuple[dict[str, int], int, float, float
             model.thresholds[kind] = threshold
 
 
+#: (features, kind, positives, negatives) of which the trees are told besides.
+PRIOR = [({"digits": d, "groups": g, "cue": c, "glued": b, "letters": a, "wide": w}, 0, 0.5 * (1 - b), 0.5 * b) for d in (9, 10, 12, 16) for g in (1, 2, 3, 4) for c in (0, 1) for b in (0, 1) for a in (0, 1) for w in (0, 1)]
+
+
 def train(found: DataFrame) -> Model:
-    """found: doc_id and candidates.  Trees over LEARNT from the kinds of CHANCE.
+    """found: rows of ``candidates``.  Trees over LEARNT from the kinds of CHANCE.
 
     Of candidates that agree in kind and LEARNT, n fail the check; so n * q / (1 - q) of those that pass are lookalikes
     that passed by chance q, and the others that pass are real.
     """
-    rows = found.select((F.pmod(F.xxhash64("doc_id"), F.lit(4)) == 0).alias("held"), F.explode("c").alias("c"))
-    rows = rows.where(F.col("c.kind").isin([KINDS.index(k) for k in CHANCE]))
-    counts = rows.groupBy("held", *[F.col(f"c.{f}").alias(f) for f in [*LEARNT, "kind"]]).agg(F.sum("c.valid").alias("passed"), F.sum(1 - F.col("c.valid")).alias("failed")).collect()
-    sides: dict[bool, list] = {False: [], True: []}
+    rows = found.where(F.col("kind").isin([KINDS.index(k) for k in CHANCE])).withColumn("held", F.pmod(F.xxhash64("doc_id"), F.lit(4)) == 0)
+    counts = rows.groupBy("held", *LEARNT, "kind").agg(F.sum("valid").alias("passed"), F.sum(1 - F.col("valid")).alias("failed")).collect()
+    sides: dict[bool, list] = {False: list(PRIOR), True: []}
     for r in sorted(counts, key=str):
         q = CHANCE[KINDS[r["kind"]]]
         alike = r["failed"] * q / (1 - q)
@@ -272,21 +284,50 @@ def _joined(spans: Column) -> Column:
     return F.array_join(F.transform(ordered, _name), ",")
 
 
+def _chosen(spans: DataFrame) -> DataFrame:
+    """row, kind, start, end, fixed of the fixed spans and of those that overlap none of them and no better one.
+
+    spans: row, kind, generator, start, end, fixed.  Spans of one generator never overlap each other, so of each other
+    generator only two can be better than a span that they overlap: the last that begins no later, and the first that
+    ends no earlier.  The longer is better, of equal ones the earlier.
+    """
+    frame = (Window.unboundedPreceding, Window.currentRow)
+    begun = Window.partitionBy("row").orderBy("start").rangeBetween(*frame)
+    coming = Window.partitionBy("row").orderBy(F.col("start").desc()).rangeBetween(*frame)
+    ending = Window.partitionBy("row").orderBy(F.col("end").desc()).rangeBetween(*frame)
+    here = F.struct("start", "end")
+    near, out = [], spans
+    for g in range(len(BASE), len(GENERATORS)):
+        one = F.when(~F.col("fixed") & (F.col("generator") == g), here)
+        near += [(g, f"before{g}", F.last(one, ignorenulls=True).over(begun)), (g, f"after{g}", F.last(one, ignorenulls=True).over(ending))]
+    out = out.select("*", *[c.alias(name) for _, name, c in near], F.max(F.when(F.col("fixed"), F.col("end"))).over(begun).alias("fixed_end"), F.min(F.when(F.col("fixed"), F.col("start"))).over(coming).alias("fixed_start"))
+    free = ~F.coalesce(F.col("fixed_end") > F.col("start"), F.lit(False)) & ~F.coalesce(F.col("fixed_start") < F.col("end"), F.lit(False))
+    for g, name, _ in near:
+        b = F.col(name)
+        longer = (b["end"] - b["start"]) - (F.col("end") - F.col("start"))
+        first = (b["start"] < F.col("start")) | ((b["start"] == F.col("start")) & (F.lit(g) < F.col("generator")))
+        beaten = (F.col("generator") != g) & (b["start"] < F.col("end")) & (F.col("start") < b["end"]) & ((longer > 0) | ((longer == 0) & first))
+        free = free & ~F.coalesce(beaten, F.lit(False))
+    return out.where(F.col("fixed") | free).select("row", "kind", "start", "end", "fixed")
+
+
 def find(docs: DataFrame) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone (base spans), base_sha256, spans, n_added of every row of docs (doc_id, text)."""
-    found = Scratch(docs.sparkSession, "pii").write(candidates(docs))
+    scratch = Scratch(docs.sparkSession, "pii")
+    matches = scratch.write(_matches(docs))
+    found = scratch.write(_described(matches.where(F.size("hits") > 0)))
     model = train(found)
-
-    def passes(c: Column) -> Column:
-        ok = F.lit(False)
+    passes = F.lit(False)
+    if model.thresholds:
+        logit = model.column({f: F.col(f) for f in FEATURES})
         for kind, threshold in model.thresholds.items():
-            ok = ok | ((c["kind"] == kind) & (model.column(c) >= threshold))
-        return ~c["base"] & (c["valid"] == 1) & ok
-
-    overlap = lambda a, b: (a["start"] < b["end"]) & (b["start"] < a["end"])
-    better = lambda a, b: (a["end"] - a["start"] > b["end"] - b["start"]) | ((a["end"] - a["start"] == b["end"] - b["start"]) & ((a["start"] < b["start"]) | ((a["start"] == b["start"]) & (a["generator"] < b["generator"]))))
-    out = found.select("doc_id", F.filter("c", lambda c: c["base"] & (c["valid"] == 1)).alias("fixed"), F.filter("c", passes).alias("may"))
-    out = out.withColumn("added", F.filter("may", lambda a: ~F.exists("fixed", lambda b: overlap(a, b)) & ~F.exists("may", lambda b: overlap(a, b) & better(b, a))))
-    times = [F.array_size(F.array_remove(F.transform("fixed", lambda c: F.when(c["kind"] == F.lit(k), 1).otherwise(0)), 0)) for k in range(len(BASE))]
-    counts = [n.cast("long").alias(f"n_{name}") for n, name in zip(times, BASE, strict=True)]
-    return out.select("doc_id", *counts, F.sha2(_joined(F.col("fixed")).cast("binary"), 256).alias("base_sha256"), _joined(F.concat("fixed", "added")).alias("spans"), F.size("added").cast("long").alias("n_added"))
+            passes = passes | ((F.col("kind") == kind) & (logit >= threshold))
+    sound = found.where("valid = 1").select("row", "kind", "generator", "start", "end", F.col("base").alias("fixed"), passes.alias("passes")).where("fixed or passes")
+    kept = _chosen(sound.drop("passes"))
+    counts = [F.count(F.when(F.col("fixed") & (F.col("kind") == k), 1)).alias(f"n_{name}") for k, name in enumerate(BASE)]
+    span = F.struct("start", "kind", "end")
+    per = kept.groupBy("row").agg(*counts, F.collect_list(F.when(F.col("fixed"), span)).alias("base"), F.collect_list(span).alias("every"), F.count(F.when(~F.col("fixed"), 1)).alias("n_added"))
+    per = per.select("row", *[f"n_{name}" for name in BASE], _joined(F.col("base")).alias("base"), _joined(F.col("every")).alias("spans"), "n_added")
+    out = matches.select("row", "doc_id").join(per, "row", "left")
+    whole = [F.coalesce(F.col(f"n_{name}"), F.lit(0)).cast("long").alias(f"n_{name}") for name in BASE]
+    return out.select("doc_id", *whole, F.sha2(F.coalesce("base", F.lit("")).cast("binary"), 256).alias("base_sha256"), F.coalesce("spans", F.lit("")).alias("spans"), F.coalesce("n_added", F.lit(0)).cast("long").alias("n_added"))
