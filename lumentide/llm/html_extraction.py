@@ -28,8 +28,8 @@ from lumentide.llm.common import Scratch, few_enough
 
 #: A subtree is a template if it is on at least LEAST_PAGES different pages of its host, and on log2 of them where that is more.
 LEAST_PAGES = 5
-#: So many templates are looked up from a broadcast table; beyond, pages meet them by joins, with keys dealt over SALTS.
-KNOWN, SALTS = 50_000, 16
+#: So many templates, with so many characters of hosts, are looked up from a broadcast table; beyond, pages meet them by joins, with keys dealt over SALTS.
+KNOWN, KNOWN_CHARS, SALTS = 50_000, 8_000_000, 16
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template iframe textarea title xmp noembed noframes".split())
@@ -45,7 +45,9 @@ ENDS = {
 #: Elements that are never the article.
 DROPPED = frozenset("head nav aside footer form button select input label object svg canvas audio video map dialog menu".split()) | RAW
 #: Words in class, id or role that mark such elements.
-MARKS = frozenset("ad ads advert advertisement adverts banner breadcrumb breadcrumbs comment comments consent contentinfo cookie cookies disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter notice notices pager pagination popup promo promoted recommended related respond search share sharing sidebar signup social sponsor sponsored subscribe toolbar widget widgets".split())
+MARKS = frozenset("ad ads advert advertisement adverts banner breadcrumb breadcrumbs comment comments consent contentinfo cookie cookies disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter notice notices pager pagination popup promo promoted recommended related respond search share sharing sidebar signup social sponsor sponsored subscribe teaser teasers toolbar widget widgets".split())
+#: Such words on an article: a reader's comment or a teaser of another page.
+ASIDE_ARTICLES = frozenset("ad advert advertisement comment comments promo promoted recommended related reply sponsored teaser teasers".split())
 #: Subtrees that may be templates.
 CONTAINERS = frozenset("nav aside footer header form div section ul ol dl table menu figure details p".split())
 PROSE = frozenset("p ul ol dl table figure li blockquote pre h1 h2 h3 h4 h5 h6".split())
@@ -142,7 +144,9 @@ def _dropped(node: Node, inside: bool) -> bool:
     """Whether the element's kind or name says that it is no part of an article; a header in an article holds its title."""
     if node.tag in DROPPED or node.tag == "header" and not inside:
         return True
-    if node.tag in ("html", "body", "main", "article", "h1"):
+    if node.tag == "article":
+        return not ASIDE_ARTICLES.isdisjoint(node.marks)
+    if node.tag in ("html", "body", "main", "h1"):
         return False
     return not MARKS.isdisjoint(node.marks - {"header"} if inside else node.marks)
 
@@ -231,9 +235,10 @@ def page_trees(pages: DataFrame) -> DataFrame:
 
 
 def site_templates(pages: DataFrame, least: int = LEAST_PAGES) -> DataFrame:
-    """host, tree: the hashes of its recurring subtrees, a row for each."""
+    """host, tree: the hashes of its recurring subtrees, a row for each.  Pages are parsed once for it."""
     rows = page_trees(pages).select("host", "page", "tree")
     counts = rows.distinct().groupBy("host", "tree").agg(F.count("*").alias("n")).where(F.col("n") >= least)
+    counts = Scratch(pages.sparkSession, "trees").write(counts)
     whole = counts.where("tree = 0").select("host", F.col("n").alias("of"))
     return counts.where("tree <> 0").join(whole, "host").where(F.col("n") >= F.log2("of")).select("host", "tree")
 
@@ -250,7 +255,7 @@ def extract(pages: DataFrame, known: int = KNOWN) -> DataFrame:
     pages = pages.select("page_id", "url", "html", host(F.col("url")).alias("host"))
     templates = Scratch(pages.sparkSession, "html").write(site_templates(pages))
     sites: dict[str, set[int]] = {}
-    if few_enough(templates, known):
+    if few_enough(templates, known) and (templates.agg(F.sum(F.length("host"))).first()[0] or 0) <= KNOWN_CHARS:
         for r in templates.collect():
             sites.setdefault(r.host, set()).add(r.tree + (1 << 63))
         source = pages.select("page_id", "url", "html", "host", F.lit(None).cast("array<long>").alias("templates"))
