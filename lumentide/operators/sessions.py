@@ -18,9 +18,9 @@ EVENT_KEY = ("session_key", "event_ms", "event_type", "event")
 
 
 def dedup_latest(events: DataFrame) -> DataFrame:
-    """One row of each (session, instant, type, name): the newest; with the number of copies."""
+    """One row of each (session, instant, type, name): the newest, of equal versions one by its values; with the number of copies."""
     rest = [c for c in events.columns if c not in EVENT_KEY]
-    newest = F.max_by(F.struct(*rest), "row_version").alias("newest")
+    newest = F.max_by(F.struct(*rest), F.struct("row_version", F.xxhash64(*rest))).alias("newest")
     return events.groupBy(*EVENT_KEY).agg(newest, F.count("*").alias("copies")).select(*EVENT_KEY, "newest.*", "copies")
 
 

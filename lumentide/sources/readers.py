@@ -81,7 +81,16 @@ def split(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def clean(good: DataFrame, ingest_ms: int) -> DataFrame:
-    """Normalised events with their signal, version and date."""
+    """Normalised events with their signal, version and date.
+
+    A row's version is the instant of ingestion and its place in the batch: rows before it in its partition, and in those before.
+    """
+    sizes = {r["part"]: r["n"] for r in good.groupBy(F.spark_partition_id().alias("part")).agg(F.count("*").alias("n")).collect()}
+    before, starts = 0, []
+    for part in range(max(sizes, default=-1) + 1):
+        starts.append(before)
+        before += sizes.get(part, 0)
+    place = F.element_at(F.array(*map(F.lit, starts or [0])).cast("array<long>"), F.spark_partition_id() + 1) + F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
     return good.withColumns({
         "audio_language": S.language(F.col("audio_language")),
         "subtitle_language": S.language(F.col("subtitle_language")),
@@ -89,7 +98,7 @@ def clean(good: DataFrame, ingest_ms: int) -> DataFrame:
         "video_resolution": S.resolution(F.col("video_resolution")),
         "signal": S.signal(F.col("event_type"), F.col("event")),
         "is_periodic_ping": S.is_ping(F.col("event")),
-        "row_version": S.row_version(F.lit(ingest_ms), F.monotonically_increasing_id().bitwiseAND((1 << 20) - 1)),
+        "row_version": S.row_version(F.lit(ingest_ms), place),
         "event_date": F.to_date(F.timestamp_millis("event_ms")),
     })
 
