@@ -38,9 +38,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that ``spark.checkpoint.dir`` names; a temporary one only where it is unset (tests)."""
+    """The folder that ``spark.checkpoint.dir`` names; where it is unset a temporary one, in local mode only, where all is one process."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        if not spark.sparkContext.master.partition("[")[0] == "local":
+            raise RuntimeError("spark.checkpoint.dir has to name a folder that driver and executors share")
         named = "file://" + tempfile.mkdtemp(prefix="lumentide-")
         spark.sparkContext.setCheckpointDir(named)
     return named.rstrip("/")

@@ -47,15 +47,19 @@ FILL = "\udfff"
 #: At a similarity of 0.75 a band of four agrees with odds 0.32, one of twelve with odds 0.99.
 BANDS, ROWS = 12, 4
 #: Characters hashed together, and lines that a task remembers to have signed.
-TOGETHER, REMEMBERED = 1 << 18, 1_000_000
-#: Mask of the digits of a line's hash that the sieve tells apart: a bitmap of 16 MB.
-SIEVE = (1 << 27) - 1
+TOGETHER, REMEMBERED = 1 << 18, 300_000
+#: Mask of the digits of a line's hash that the sieve tells apart: a bitmap of 4 MB.
+SIEVE = (1 << 25) - 1
 
 _ODD = (mix64(np.arange(1001, BANDS * ROWS + 1001, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 
 
 def normal(line: str) -> str:
-    return " ".join(line.lower().split())
+    line = line.lower()
+    # of white space only the space is printable, so these are lines that split and join would not change
+    if line.isprintable() and "  " not in line and line[:1] != " " and line[-1:] != " ":
+        return line
+    return " ".join(line.split())
 
 
 def line_hash(line: str) -> int:
@@ -100,9 +104,10 @@ def signatures(lines: list[str]) -> np.ndarray:
     h = (h >> np.uint64(32)).astype(np.uint32)
     low = np.empty((BANDS * ROWS, len(lines)), np.uint64)
     held = np.empty_like(h)
-    for k in range(BANDS * ROWS):
+    for k in range(0, BANDS * ROWS, 2):  # the least value of a hash function, and of the same one counted down
         np.multiply(h, _ODD[k], out=held)
         low[k] = np.minimum.reduceat(held, starts[:-1])
+        low[k + 1] = np.maximum.reduceat(held, starts[:-1])
     out = np.empty((len(lines), BANDS), np.uint64)
     for b in range(BANDS):
         key = np.full(len(lines), b, np.uint64)
@@ -226,12 +231,14 @@ def fuzzy_lines(docs: DataFrame, least: int = LEAST) -> DataFrame:
     lines = made.select("doc_id", "line_no", "h").join(parts.withColumnRenamed("node", "h"), "h", "left")
     placed = scratch.write(lines.select("doc_id", "line_no", "h", F.coalesce("component", "h").alias("component")))
     scratch.drop(made)
-    # (doc_id, line_no) in one number, so that the first line of a component is found by hash aggregation
-    place = F.col("doc_id").cast("decimal(20,0)") * F.lit(1 << 32).cast("decimal(10,0)") + F.col("line_no").cast("decimal(10,0)")
+    # (doc_id, line_no) in one number, a long where all of them fit, so that the first line of a component is found by hash aggregation
+    low, high, most = placed.agg(F.min("doc_id"), F.max("doc_id"), F.max("line_no")).first()
+    of = (most or 0) + 1
+    kind = "long" if (max(abs(low or 0), abs(high or 0)) + 2) * of < 1 << 62 else "decimal(38,0)"
+    place = F.expr(f"cast(cast(doc_id as {'long' if kind == 'long' else 'decimal(20,0)'}) * {of} + line_no as {kind})")
     firsts = placed.groupBy("component").agg(F.min(place).alias("place"), F.count("*").alias("n")).where("n > 1")
-    line = F.pmod(F.col("place"), F.lit(1 << 32).cast("decimal(10,0)"))
-    doc = ((F.col("place") - line) / F.lit(1 << 32).cast("decimal(10,0)")).cast("long")
-    firsts = scratch.write(firsts.select("component", doc.alias("class_doc"), line.cast("int").alias("class_line")))
+    firsts = firsts.select("component", "place", F.expr(f"pmod(place, {of})").alias("line"))
+    firsts = scratch.write(firsts.select("component", F.expr(f"(place - line) div {of}").cast("long").alias("class_doc"), F.col("line").cast("int").alias("class_line")))
     if few_enough(firsts):
         firsts = F.broadcast(firsts)
     kept = (F.col("doc_id") == F.col("class_doc")) & (F.col("line_no") == F.col("class_line"))

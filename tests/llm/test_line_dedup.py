@@ -126,3 +126,16 @@ def test_a_large_family_against_brute_force(spark):
     got = {(r.doc_id, r.line_no): (r.class_doc, r.class_line) for r in fuzzy_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     want = brute(rows)
     assert got.keys() == want.keys() and sum(got[k] == want[k] for k in want) >= 0.98 * len(want)
+
+
+def test_ids_beyond_what_a_long_of_places_holds(spark):
+    x, big = "a line that some of them share, long enough", (1 << 63) - 1
+    docs = spark.createDataFrame([(big, x + "\n" + x), (-big, "own line of the first\n" + x), (7, x)], "doc_id long, text string")
+    got = {(r.doc_id, r.line_no): (r.class_doc, r.class_line, r.kept) for r in fuzzy_lines(docs).collect()}
+    first = (-big, 1)
+    assert got == {(-big, 0): (-big, 0, True), first: (*first, True), (big, 0): (*first, False), (big, 1): (*first, False), (7, 0): (*first, False)}
+
+
+def test_normal_is_split_and_join():
+    for line in ["", " ", "a b", " a", "a ", "a  b", "a\tb", "a\u00a0b", "\u3000x", "A\rB", "É\x1fß", "\u200bx y"]:
+        assert normal(line) == " ".join(line.lower().split())
