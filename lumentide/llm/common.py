@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Arrow batches handed to Python stay under this, however long the texts are.
-ARROW_BATCH_BYTES = "16m"
+ARROW_BATCH_BYTES = "8m"
 
 #: A broadcast side may have so many rows of 8 to 16 bytes; beyond it, joins shuffle.
 BROADCAST_ROWS = 1_000_000

@@ -43,7 +43,7 @@ STEP = 8
 #: Bands begin at every BAND-th diagonal and are twice as wide.
 BAND = 16
 #: Characters of items in a block, and of documents handled together.
-ITEM_CHARS, TOGETHER = 250_000, 1 << 20
+ITEM_CHARS, TOGETHER = 250_000, 1 << 18
 _FILTER_BITS = 22
 
 

@@ -49,7 +49,7 @@ SIMILAR = 75
 #: They only order sketch words; any choice gives the same links.
 FREQUENT, MOST_FREQUENT = 16, 262_144
 #: A task reports shingles that it sees so often among so many.
-LOCAL_TIMES, LOCAL_SHINGLES = 2, 1 << 22
+LOCAL_TIMES, LOCAL_SHINGLES = 2, 1 << 21
 #: Sets that a task remembers, so as to sketch equal ones once.
 REMEMBERED = 500_000
 #: Sketch words for each shingle of the smallest set of a band.
@@ -64,7 +64,7 @@ def word_shingles(width: int) -> Hashes:
 def frequent_shingles(texts: DataFrame, hashes: Hashes, times: int = LOCAL_TIMES, least: int | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Sorted hashes of shingles seen ``least`` times and the magnitude of each: local counts, of ``times`` in a task, summed in Spark; bounded by MOST_FREQUENT."""
     least = FREQUENT if least is None else least
-    most = LOCAL_SHINGLES if times > 1 else LOCAL_SHINGLES >> 4  # of all counts there are as many rows
+    most = LOCAL_SHINGLES if times > 1 else LOCAL_SHINGLES >> 3  # of all counts there are as many rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0

@@ -9,7 +9,7 @@ import numpy as np
 from lumentide.llm.common import groups_of, mix64
 
 #: Bytes hashed together; a longer text is cut at white space.
-PIECE = 1 << 20
+PIECE = 1 << 19
 _P = 0x9E3779B97F4A7C15 | 1
 _LOWER = np.arange(256, dtype=np.uint64)
 _LOWER[65:91] += 32
