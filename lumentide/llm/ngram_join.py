@@ -49,7 +49,7 @@ SIMILAR = 75
 #: They only order sketch words; any choice gives the same links.
 FREQUENT, MOST_FREQUENT = 16, 262_144
 #: A task reports shingles that it sees so often among so many.
-LOCAL_TIMES, LOCAL_SHINGLES = 2, 1 << 21
+LOCAL_TIMES, LOCAL_SHINGLES = 4, 1 << 21
 #: Sets that a task remembers, so as to sketch equal ones once.
 REMEMBERED = 500_000
 #: Sketch words for each shingle of the smallest set of a band.
