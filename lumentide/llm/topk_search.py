@@ -63,13 +63,15 @@ class Block:
         n, dims = vectors.shape
         self.segments = max(1, min(segments, n))
         self.cuts = np.linspace(0, n, self.segments + 1).astype(np.int64)
-        self.order = np.argsort(-vectors, axis=0, kind="stable")
-        self.sorted = np.take_along_axis(vectors, self.order, axis=0)
-        self.top, self.low = self.sorted[self.cuts[:-1]], self.sorted[self.cuts[1:] - 1]
+        # posting lists one after the other, so that a segment is one run of memory
+        columns = np.ascontiguousarray(vectors.T)
+        self.order = np.argsort(-columns, axis=1, kind="stable")
+        self.sorted = np.take_along_axis(columns, self.order, axis=1)
+        self.top, self.low = self.sorted[:, self.cuts[:-1]].T, self.sorted[:, self.cuts[1:] - 1].T
         self.place = np.empty((n, dims), np.int8)
         level = np.repeat(np.arange(self.segments, dtype=np.int8), np.diff(self.cuts))
         for d in range(dims):
-            self.place[self.order[:, d], d] = level
+            self.place[self.order[d], d] = level
 
     def search(self, query: np.ndarray, own: int, k: int, floor: int | None) -> np.ndarray:
         """Rows whose score may be among the best k, given that floor is already reached by k others."""
@@ -84,17 +86,18 @@ class Block:
         total = np.zeros(n, np.int64)
         read = np.zeros(dims, np.int8)
         bound = impact[0].copy()
+        turn = np.where(up, self.place, np.int8(self.segments - 1) - self.place)  # when a vector is met in each dimension
         for i in range(0, len(seg), STRIDE):
             for s, d in zip(seg[i : i + STRIDE].tolist(), dim[i : i + STRIDE].tolist(), strict=True):
                 at = s if up[d] else self.segments - 1 - s
                 span = slice(self.cuts[at], self.cuts[at + 1])
-                total[self.order[span, d]] += self.sorted[span, d] * query[d]
+                total[self.order[d, span]] += self.sorted[d, span] * query[d]
                 read[d] = s + 1
                 bound[d] = after[s, d]
-            if i < 3 * STRIDE and len(seg) > 4 * STRIDE:
+            if (i // STRIDE % 2 == 0 or i < 3 * STRIDE) and len(seg) > 4 * STRIDE:
                 continue
-            met = np.where(up, self.place < read, self.place >= self.segments - read)
-            most = total + (~met).astype(np.float64) @ bound.astype(np.float64) + 1  # float sums of integers below 2^53, so exact
+            rest = (turn >= read).astype(np.float32) @ bound.astype(np.float32)
+            most = total + rest.astype(np.float64) + (1 + float(np.abs(bound).sum()) * 2.0**-15)  # more than sums of up to 512 floats can be off
             bar = self._bar(query, own, k, total, floor)
             if bar is None:
                 continue
@@ -149,12 +152,15 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 10, vec_id: str = "vec_i
 
             def keep(i: int, row: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> None:
                 other = row != asks[i]
+                if len(held[i][0]) >= k:
+                    other &= scores >= held[i][1][-1]
                 row, scores, ids = (np.r_[h, x[other]] for h, x in zip(held[i], (row, scores, ids), strict=True))
                 order = np.lexsort((row, ids, ~scores))[:k]  # ~x falls as x rises, and no long overflows
                 held[i] = row[order], scores[order], ids[order]
 
             def take(row: np.ndarray, ids: np.ndarray, matrix: np.ndarray) -> None:
                 narrow = (np.abs(matrix) <= NARROW).all(axis=1)
+                plain, whole = ids[narrow], bool(narrow.all())
                 block = Block(row[narrow], matrix[narrow]) if narrow.any() else None
                 for i, (own, q) in enumerate(zip(asks.tolist(), rows, strict=True)):
                     if not narrow_query[i]:
@@ -163,8 +169,8 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 10, vec_id: str = "vec_i
                     if block is not None:
                         scores = held[i][1]
                         left = block.search(q, own, k, int(scores[-1]) if len(scores) >= k else None)
-                        keep(i, block.ids[left], ids[narrow][left], block.vectors[left] @ q)
-                    if not narrow.all():
+                        keep(i, block.ids[left], plain[left], block.vectors[left] @ q)
+                    if not whole:
                         keep(i, row[~narrow], ids[~narrow], wide_scores(matrix[~narrow], q))
 
             waiting, n = [], 0
