@@ -9,17 +9,24 @@ and Viterbi finds the likeliest states; turns are then rendered in one canonical
 A transcript comes in ordered parts of bounded size.  Viterbi over many parts is an associative
 product of (max, +) matrices: each part gives the matrix of its best scores from any state
 before it to any state at its end, matrices of neighbouring parts multiply in a tree, and going
-back down fixes the states at every boundary; then each part is decoded alone.  So no task sees
-more than one part or one tree node, however long a conversation is.
+back down fixes the states at every boundary; then each part is decoded alone.  Whatever is keyed
+by conversation alone is a count with partial sums or has one row for many parts; texts are only
+ever keyed by conversation and part.
+
+A turn's first line loses its marker if the state's role is the marker's and the marker is
+written as the part's markers of that role mostly are; another one ("Answer: 4" among "Agent:")
+is a part of the body.
 
 Semantics: null texts are empty; turns order by turn (null first), then role and text; repeated
-rows are turns of their own; a conversation without a line of text has no turns; a null conv_id
-is a conversation of its own.
+rows are turns of their own; a conversation without a line of text has no turns; all rows with a
+null conv_id are one conversation.  Null, negative and repeated turn numbers can put any number
+of turns at one place: conversations with over FULL turns in a part are cut by rank instead.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -28,11 +35,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lumentide.llm.common import Scratch
+from lumentide.llm.common import Scratch, few_enough
 
 ROLES = ("system", "user", "assistant")
 #: Turns of one part, and children of one node of the tree.
 TURNS_A_PART, FAN = 64, 64
+#: Turns of a part from which a conversation is cut by rank, not by turn number.
+FULL = 4 * TURNS_A_PART
+#: Parts whose counts of turns are summed as one; shares of a key in a join with too many keys to broadcast.
+BLOCK, SALTS = 4096, 64
 
 #: Names by which transcripts mark each role.
 NAMES = {
@@ -56,6 +67,24 @@ def marker(line: str) -> tuple[int, str]:
     return (_ROLE_OF[(m[1] or m[2] or m[3]).lower()], line[m.end() :]) if m else (-1, line)
 
 
+def bodies(lines: list[str], states: list[int]) -> list[str]:
+    """The lines less the markers of turns; a marker unlike the usual one of its role here is a part of the text."""
+    written: dict[int, tuple[int, str, str]] = {}
+    for n, (line, s) in enumerate(zip(lines, states, strict=True)):
+        m = _MARKER.match(line) if s % 2 == 0 else None
+        if m:
+            name = m[1] or m[2] or m[3]
+            form = " ".join(m[0].split()).lower()
+            written[n] = (_ROLE_OF[name.lower()], form, form.replace(name.lower(), "name"))
+    forms, shapes = Counter(w[:2] for w in written.values()), Counter(w[2] for w in written.values())
+    weight = {w: (forms[w[:2]], shapes[w[2]]) for w in written.values()}
+    usual: dict[int, tuple[int, int]] = {}
+    for w, n in weight.items():
+        usual[w[0]] = max(usual.get(w[0], n), n)
+    real = {n for n, w in written.items() if w[0] == states[n] // 2 and weight[w] == usual[w[0]]}
+    return [marker(line)[1] if n in real else line for n, line in enumerate(lines)]
+
+
 def observe(text: str, first: bool) -> tuple[list[str], np.ndarray]:
     """The lines with text, and their observations."""
     lines, seen = [], []
@@ -137,12 +166,14 @@ def train(turns: DataFrame) -> Hmm:
 def parse_transcripts(parts: DataFrame, model: Hmm) -> DataFrame:
     """conv, turn (from 0), role, text, canonical of every recovered turn.
 
-    parts: conv (string), part (long, in order from 0 on), text; each part of bounded size.
+    parts: conv (string), part (long, in order from 0 on, each once), text; each part of bounded size.
     """
     spark = parts.sparkSession
     scratch = Scratch(spark, "chat")
     sent = spark.sparkContext.broadcast(model)
-    parts = scratch.write(parts.where(F.col("text").rlike(f"[^{BLANK}\n]")).select("conv", "part", "text", (F.row_number().over(Window.partitionBy("conv").orderBy("part")) == 1).alias("first"), (F.count("*").over(Window.partitionBy("conv")) > 1).alias("more")))
+    full = parts.where(F.col("text").rlike(f"[^{BLANK}\n]")).select("conv", "part", "text")
+    firsts = full.groupBy("conv").agg(F.min("part").alias("part"), F.count("*").alias("n"))
+    parts = scratch.write(full.join(firsts, ["conv", "part"], "left").select("conv", "part", "text", F.col("n").isNotNull().alias("first"), (F.coalesce("n", F.lit(2)) > 1).alias("more")))
     several = parts.where("more")
 
     def matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,7 +190,8 @@ def parse_transcripts(parts: DataFrame, model: Hmm) -> DataFrame:
                 openings.append(opening.tolist())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(products, pa.list_(pa.float64())), pa.array(openings, pa.list_(pa.float64()))], names=["conv", "part", "matrix", "opening"])
 
-    if several.limit(1).count():
+    long = bool(several.limit(1).count())
+    if long:
         nodes = scratch.write(several.select("conv", "part", "text", "first").mapInArrow(matrices, "conv string, part long, matrix array<double>, opening array<double>"))
         around = _boundaries(nodes, scratch)
         placed = parts.join(around, ["conv", "part"], "left")
@@ -173,28 +205,40 @@ def parse_transcripts(parts: DataFrame, model: Hmm) -> DataFrame:
             for c, p, text, first, before, after in zip(*[batch.column(i).to_pylist() for i in range(6)], strict=True):
                 lines, seen = observe(text, first)
                 states = use.decode(seen, -1 if before is None else before, -1 if after is None else after)
+                states = states.tolist()
                 turn = 0
-                for n, (s, x) in enumerate(zip(states.tolist(), lines, strict=True)):
+                for n, (s, x) in enumerate(zip(states, bodies(lines, states), strict=True)):
                     turn += s % 2 == 0
                     conv.append(c)
                     part.append(p)
                     begins.append(turn)
                     at.append(n)
                     role.append(ROLES[s // 2])
-                    line.append(marker(x)[1] if s % 2 == 0 else x)
+                    line.append(x)
             yield pa.RecordBatch.from_arrays([pa.array(conv, pa.string()), pa.array(part, pa.int64()), pa.array(begins, pa.int64()), pa.array(at, pa.int64()), pa.array(role, pa.string()), pa.array(line, pa.string())], names=["conv", "part", "begun", "at", "role", "line"])
 
     lines = placed.select("conv", "part", "text", "first", "before", "after").mapInArrow(decode, "conv string, part long, begun long, at long, role string, line string")
     lines = scratch.write(lines)
-    # turns begun in earlier parts: one row of each part goes through the window
-    begun = lines.groupBy("conv", "part").agg(F.max("begun").alias("n"))
-    earlier = F.coalesce(F.sum("n").over(Window.partitionBy("conv").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    lines = lines.join(begun.select("conv", "part", earlier.alias("earlier")), ["conv", "part"])
+    scratch.drop(parts)
+    lines = lines.join(_turns_before(lines), ["conv", "part"]) if long else lines.withColumn("earlier", F.lit(0))
     turn = lines.groupBy("conv", (F.col("earlier") + F.col("begun") - 1).alias("turn")).agg(F.first("role").alias("role"), F.sort_array(F.collect_list(F.struct("part", "at", "line"))).alias("lines"))
     text = F.trim(F.array_join(F.transform("lines", lambda x: x["line"]), "\n"), F.lit(" \t\r\n"))
     return turn.select("conv", "turn", "role", text.alias("text")).withColumn("canonical", F.concat(F.lit("<|"), "role", F.lit("|>\n"), "text", F.lit("\n<|end|>")))
 
 
+def _turns_before(lines: DataFrame) -> DataFrame:
+    """conv, part, earlier: turns begun in earlier parts, by sums of BLOCK parts and sums inside such a block."""
+    begun = lines.groupBy("conv", "part", F.floor(F.col("part") / BLOCK).alias("block")).agg(F.max("begun").alias("n"))
+    blocks = begun.groupBy("conv", "block").agg(F.sum("n").alias("n"))
+
+    def before(*keys: str, by: str) -> Column:
+        return F.coalesce(F.sum("n").over(Window.partitionBy(*keys).orderBy(by).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+    entering = blocks.select("conv", "block", before("conv", by="block").alias("entering"))
+    inside = begun.select("conv", "block", "part", before("conv", "block", by="part").alias("inside"))
+    return inside.join(entering, ["conv", "block"]).select("conv", "part", (F.col("entering") + F.col("inside")).alias("earlier"))
+
+
 def _boundaries(nodes: DataFrame, scratch: Scratch) -> DataFrame:
     """States around the parts; inner nodes carry the opening scores of their first part multiplied through."""
     levels = [nodes]
@@ -240,7 +284,8 @@ def _boundaries(nodes: DataFrame, scratch: Scratch) -> DataFrame:
 
     for below in reversed(levels[:-1]):
         kids = _grouped(below)
-        placed = scratch.write(placed.join(kids, ["conv", "part"]).select("conv", "before", "after", "children").mapInArrow(descend, "conv string, part long, before long, after long"))
+        above, placed = placed, scratch.write(placed.join(kids, ["conv", "part"]).select("conv", "before", "after", "children").mapInArrow(descend, "conv string, part long, before long, after long"))
+        scratch.drop(above, below)
     return placed
 
 
@@ -289,5 +334,34 @@ def transcripts(turns: DataFrame) -> DataFrame:
     full = F.filter(F.split(text, "\n"), lambda x: x.rlike(f"[^{BLANK}]"))
     roles = F.transform(full, lambda x, i: F.concat(F.when(i == 0, F.lit("+")).otherwise(F.lit("")), known))
     rows = turns.select(conv.alias("conv"), F.floor(F.greatest(place, F.lit(0)) / TURNS_A_PART).alias("part"), place.alias("place"), known.alias("known"), F.concat(text, between).alias("text"), roles.alias("roles"))
+    rows = _cut_by_rank(rows)
     parts = rows.groupBy("conv", "part").agg(F.sort_array(F.collect_list(F.struct("place", "known", "text", "roles"))).alias("t"))
     return parts.select("conv", "part", (F.col("part") == 0).alias("first"), F.array_join(F.transform("t", lambda x: x["text"]), "").alias("text"), F.flatten(F.transform("t", lambda x: x["roles"])).alias("roles"))
+
+
+def _cut_by_rank(rows: DataFrame) -> DataFrame:
+    """rows, those of conversations with a part of over FULL turns with the part of their rank in (place, known, text).
+
+    A global sort spreads a conversation, and rows that are all equal, over tasks; a row's rank is its place in its
+    task's run and the counts of the runs before, of which a conversation has no more than there are tasks.
+    """
+    over = rows.groupBy("conv", "part").agg(F.count("*").alias("n")).where(F.col("n") > FULL).select("conv").distinct()
+    if not over.limit(1).count():
+        return rows
+    scratch = Scratch(rows.sparkSession, "turns")
+    over = scratch.write(over.withColumn("over", F.lit(True)))
+    if few_enough(over):
+        marked = rows.join(F.broadcast(over), "conv", "left")
+    else:
+        shares = over.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        marked = rows.withColumn("salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")).join(shares, ["conv", "salt"], "left")
+    given = scratch.write(marked.where("over").select(*rows.columns, F.monotonically_increasing_id().alias("tie")))
+    # the id holds the number of the task above 33 bits of the place in its run
+    ranked = scratch.write(given.orderBy("conv", "place", "known", "text", "tie").withColumn("id", F.monotonically_increasing_id()).withColumn("run", F.shiftright("id", 33)))
+    scratch.drop(given)
+    runs = ranked.groupBy("conv", "run").agg(F.min("id").alias("low"), F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("conv").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    runs = scratch.write(runs.select("conv", "run", "low", before.alias("before")))
+    placed = ranked.join(F.broadcast(runs) if few_enough(runs) else runs, ["conv", "run"])
+    rank = F.col("id") - F.col("low") + F.col("before")
+    return marked.where("over is null").select(*rows.columns).unionByName(placed.withColumn("part", F.floor(rank / TURNS_A_PART)).select(*rows.columns))
