@@ -1,8 +1,8 @@
 """Signed boundaries of intervals, the level curve, and exact answers from them.
 
-A curve is a running sum over all time.  It is taken in two levels: net changes of whole days
-give each day's entering level, and inside a day a window runs on its own, so that even the
-total curve, which has one key, is spread over days.
+A curve is a running sum over all time.  It is taken in two levels: net changes of whole hours
+give each hour's entering level, and inside an hour a window runs on its own, so that even the
+total curve, which has one key, is spread over hours.
 """
 
 from __future__ import annotations
@@ -11,9 +11,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lumentide.functions.scalars import bucket, masked
-from lumentide.policy import DAY
+from lumentide.policy import DAY, HOUR
 
 KEYS = ("rollup_mask", "platform", "country", "content_id", "video_type")
+#: A running sum is one task for each key and slot of time.
+SLOT = HOUR
 
 
 def fan_out(intervals: DataFrame, masks: tuple[int, ...], *more: str) -> DataFrame:
@@ -44,14 +46,24 @@ def day_anchors(points: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFrame:
     return spine.join(days, [*keys, "day_ms"], "left").select(*keys, "day_ms", F.coalesce(F.sum("net").over(before), F.lit(0)).alias("level"))
 
 
+def swept(points: DataFrame, change: Column, keys: tuple[str, ...] = KEYS, at: str = "boundary_ms") -> DataFrame:
+    """points with level, the sum of ``change`` up to them, and next, the instant after theirs (null: none); instants are distinct.
+
+    Windows run inside a slot; what enters a slot and what follows it is told by one row of each slot of the key.
+    """
+    rows = points.withColumn("slot", bucket(F.col(at), SLOT)).withColumn("change", change)
+    slots = rows.groupBy(*keys, "slot").agg(F.sum("change").alias("net"), F.min(at).alias("first"))
+    over = Window.partitionBy(*keys).orderBy("slot")
+    around = slots.select(*keys, "slot", F.coalesce(F.sum("net").over(over.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("entering"), F.lead("first").over(over).alias("following"))
+    inside = Window.partitionBy(*keys, "slot").orderBy(at)
+    ran = F.sum("change").over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    rows = rows.select(*points.columns, "slot", ran.alias("ran"), F.lead(at).over(inside).alias("after")).join(around, [*keys, "slot"])
+    return rows.select(*points.columns, (F.col("entering") + F.col("ran")).alias("level"), F.coalesce("after", "following").alias("next"))
+
+
 def curve(points: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFrame:
     """keys, boundary_ms, level after it."""
-    inside = Window.partitionBy(*keys, "day_ms").orderBy("boundary_ms").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    p = points.withColumn("day_ms", bucket(F.col("boundary_ms"), DAY)).withColumn("ran", F.sum(F.col("opens") - F.col("closes")).over(inside))
-    days = points.groupBy(*keys, bucket(F.col("boundary_ms"), DAY).alias("day_ms")).agg(F.sum(F.col("opens") - F.col("closes")).alias("net"))
-    before = Window.partitionBy(*keys).orderBy("day_ms").rowsBetween(Window.unboundedPreceding, -1)
-    entering = days.select(*keys, "day_ms", F.coalesce(F.sum("net").over(before), F.lit(0)).alias("entering"))
-    return p.join(entering, [*keys, "day_ms"]).select(*keys, "boundary_ms", (F.col("entering") + F.col("ran")).alias("level"))
+    return swept(points, F.col("opens") - F.col("closes"), keys).select(*keys, "boundary_ms", "level")
 
 
 def peak(levels: DataFrame, *by: str) -> DataFrame:
@@ -59,10 +71,9 @@ def peak(levels: DataFrame, *by: str) -> DataFrame:
     return levels.groupBy(*by).agg(F.max("level").alias("peak"), F.min_by("boundary_ms", F.struct(-F.col("level"), "boundary_ms")).alias("peak_ms"))
 
 
-def steps(levels: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFrame:
+def steps(points: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFrame:
     """keys, start_ms, end_ms, level: from each boundary to the next."""
-    after = F.lead("boundary_ms").over(Window.partitionBy(*keys).orderBy("boundary_ms"))
-    return levels.select(*keys, F.col("boundary_ms").alias("start_ms"), after.alias("end_ms"), "level").where("end_ms is not null")
+    return swept(points, F.col("opens") - F.col("closes"), keys).where("next is not null").select(*keys, F.col("boundary_ms").alias("start_ms"), F.col("next").alias("end_ms"), "level")
 
 
 def window_peak(points: DataFrame, anchors: DataFrame, low: int, high: int, keys: tuple[str, ...] = KEYS) -> DataFrame:
@@ -72,8 +83,7 @@ def window_peak(points: DataFrame, anchors: DataFrame, low: int, high: int, keys
     near = points.where((F.col("boundary_ms") >= day) & (F.col("boundary_ms") < high)).withColumn("d", F.col("opens") - F.col("closes"))
     until = near.where(F.col("boundary_ms") <= low).groupBy(*keys).agg(F.sum("d").alias("until"))
     inside = near.where(F.col("boundary_ms") > low)
-    ran = F.sum("d").over(Window.partitionBy(*keys).orderBy("boundary_ms").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    top = inside.select(*keys, ran.alias("ran")).groupBy(*keys).agg(F.max("ran").alias("top"))
+    top = curve(inside, keys).groupBy(*keys).agg(F.max("level").alias("top"))
     every = start.select(*keys).unionByName(until.select(*keys)).unionByName(top.select(*keys)).distinct()
     out = every.join(start, list(keys), "left").join(until, list(keys), "left").join(top, list(keys), "left").fillna(0, ["anchor", "until"])
     return out.select(*keys, (F.col("anchor") + F.col("until") + F.greatest(F.coalesce("top", F.lit(0)), F.lit(0))).alias("peak"))
@@ -97,13 +107,11 @@ def spread(parts: DataFrame, size: int) -> DataFrame:
     return rows.withColumn("overlap_ms", overlap(F.col("bucket_ms"), F.col("bucket_ms") + size))
 
 
-def bucket_metrics(levels: DataFrame, low: int, high: int, size: int) -> DataFrame:
-    """bucket_ms, peak, active_ms, avg of every bucket of [low, high), empty ones too; edge buckets are averaged over the part inside."""
-    keys = ()
-    parts = steps(levels.select("boundary_ms", "level"), keys).where("level > 0")
-    parts = parts.select(F.greatest("start_ms", F.lit(low)).alias("start_ms"), F.least("end_ms", F.lit(high)).alias("end_ms"), "level")
+def bucket_metrics(points: DataFrame, low: int, high: int, size: int) -> DataFrame:
+    """bucket_ms, peak, active_ms, avg of every bucket of [low, high) of the total's points, empty ones too; edge buckets are averaged over the part inside."""
+    parts = steps(points, ("rollup_mask",)).where((F.col("level") > 0) & (F.col("start_ms") < high) & (F.col("end_ms") > low)).select(F.greatest("start_ms", F.lit(low)).alias("start_ms"), F.least("end_ms", F.lit(high)).alias("end_ms"), "level")
     met = spread(parts, size).groupBy("bucket_ms").agg(F.max("level").alias("peak"), F.sum(F.col("level") * F.col("overlap_ms")).alias("active_ms"))
-    spine = levels.sparkSession.range(low - low % size, high, size).select(F.col("id").alias("bucket_ms"))
+    spine = points.sparkSession.range(low - low % size, high, size).select(F.col("id").alias("bucket_ms"))
     length = F.least(F.col("bucket_ms") + size, F.lit(high)) - F.greatest("bucket_ms", F.lit(low))
     out = spine.join(met, "bucket_ms", "left").fillna(0, ["peak", "active_ms"])
     return out.withColumn("avg_concurrency", F.round(F.col("active_ms") / length, 6))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lumentide.functions.scalars import bucket, grouping
-from lumentide.operators.boundaries import KEYS, curve, spread
+from lumentide.operators.boundaries import KEYS, curve, spread, swept
 
 ROLLUP_KEYS = ("rollup_mask", "content_id", "platform", "country", "app_version", "video_type", "category")
 
@@ -32,8 +32,7 @@ def _levels_with_anchors(parts: DataFrame, size: int, keys: tuple[str, ...]) ->
     ends = parts.select(*keys, edges).select(*keys, "e.*")
     begins = spread(parts, size).select(*keys, F.col("bucket_ms").alias("at_ms"), F.lit(0).alias("d"))
     net = ends.unionByName(begins).groupBy(*keys, "at_ms").agg(F.sum("d").alias("d"))
-    ran = F.sum("d").over(Window.partitionBy(*keys).orderBy("at_ms").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return net.select(*keys, "at_ms", ran.alias("level"))
+    return swept(net, F.col("d"), keys, "at_ms").select(*keys, "at_ms", "level")
 
 
 def _peaks(levels: DataFrame, size: int, keys: tuple[str, ...]) -> DataFrame:

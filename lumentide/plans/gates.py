@@ -16,6 +16,13 @@ def gate(rows: DataFrame, name: str, actual: Column, passes: int = 0) -> DataFra
     return out.select(F.lit(name).alias("gate"), "actual", (F.col("actual") == passes).alias("passed"))
 
 
+def gate_rows(rows: DataFrame, *checks: tuple[str, Column, int]) -> DataFrame:
+    """A row for each (name, aggregate, value that passes), from one pass over rows."""
+    found = [F.struct(F.lit(name).alias("gate"), F.coalesce(actual.cast("long"), F.lit(0)).alias("actual"), F.lit(passes).alias("passes")) for name, actual, passes in checks]
+    out = rows.agg(F.array(*found).alias("found")).select(F.inline("found"))
+    return out.select("gate", "actual", (F.col("actual") == F.col("passes")).alias("passed"))
+
+
 def union(gates: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, gates)
 
@@ -36,21 +43,26 @@ def conservation(fanned: DataFrame, tier: DataFrame) -> DataFrame:
 
 def build_gates(intervals: DataFrame, fanned: DataFrame, points: DataFrame, tier: DataFrame, masks: tuple[int, ...], size: int) -> DataFrame:
     """The invariants that need no reference: balance, order, keys, masks, time, peaks."""
-    levels = curve(points)
+    levels = curve(points).groupBy(*KEYS).agg(F.max("level").alias("sweep"), F.count_if(F.col("level") < 0).alias("below"))
     per_key = tier.groupBy(*KEYS, "bucket_ms").agg(F.count("*").alias("n"))
-    sweep = levels.groupBy(*KEYS).agg(F.max("level").alias("sweep"))
     served = tier.groupBy(*KEYS).agg(F.max("peak").alias("served"))
     return union([
         gate(points, "opens equal closes", F.sum(F.col("opens") - F.col("closes"))),
-        gate(levels, "no level below zero", F.count_if(F.col("level") < 0)),
         gate(intervals, "no empty interval", F.count_if(F.col("end_ms") <= F.col("start_ms"))),
         gate(per_key, "one row for each key", F.count_if(F.col("n") > 1)),
-        gate(tier, "only known masks", F.count_if(~F.col("rollup_mask").isin(*masks))),
-        gate(tier, "all masks there", F.count_distinct("rollup_mask"), len(masks)),
-        gate(tier, "time within peak", F.count_if(F.col("active_ms") > F.col("peak") * size)),
-        gate(tier, "ending within peak", F.count_if(F.col("ending_concurrency") > F.col("peak") + F.col("boundary_points"))),
+        gate_rows(
+            tier,
+            ("only known masks", F.count_if(~F.col("rollup_mask").isin(*masks)), 0),
+            ("all masks there", F.count_distinct("rollup_mask"), len(masks)),
+            ("time within peak", F.count_if(F.col("active_ms") > F.col("peak") * size), 0),
+            ("ending within peak", F.count_if(F.col("ending_concurrency") > F.col("peak") + F.col("boundary_points")), 0),
+        ),
         gate(conservation(fanned, tier), "time conserved", F.count_if(~F.col("passed"))),
-        gate(sweep.join(served, list(KEYS), "full_outer"), "peaks equal the sweep", F.count_if(~F.col("sweep").eqNullSafe(F.col("served")))),
+        gate_rows(
+            levels.join(served, list(KEYS), "full_outer"),
+            ("no level below zero", F.sum("below"), 0),
+            ("peaks equal the sweep", F.count_if(~F.col("sweep").eqNullSafe(F.col("served"))), 0),
+        ),
     ])
 
 

@@ -1,12 +1,14 @@
 """Named queries over the driver's tables, each with the SQL that an oracle runs on the same files.
 
 A query is a function of a ``Model``, which builds the layers that it asks for; nothing is
-computed before the result is collected but the observation horizon, a single number.
+computed before the result is collected but the observation horizon, a single number, and the
+tables of queries that read a layer more than once, which are written first.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -18,11 +20,19 @@ from lumentide.operators.boundaries import KEYS
 from lumentide.plans import gates, profile, router
 from lumentide.policy import DAY, DELTA_MASKS, HOUR, ROLLUP_MASKS, TIER_MASKS, WIDE, Policy
 from lumentide.sources import binding
+from lumentide.stored import Scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
+@dataclass(frozen=True)
+class Build:
+    intervals: DataFrame
+    points: DataFrame
+    tier: DataFrame
+
+
 class Model:
     """The layers over one folder of tables."""
 
@@ -79,6 +89,21 @@ class Model:
     def points(self, masks: tuple[int, ...] = TIER_MASKS) -> DataFrame:
         return boundaries.deltas(self.fan(masks))
 
+    @cached_property
+    def scratch(self) -> Scratch:
+        return Scratch(self.spark, "build")
+
+    @cached_property
+    def kept(self) -> DataFrame:
+        """The intervals, written: for what reads them several times."""
+        return self.scratch.write(self.intervals)
+
+    def build(self) -> Build:
+        """Intervals, boundaries and tier of the tier's masks, written once; the latter two in folders by mask."""
+        fanned = boundaries.fan_out(self.kept, TIER_MASKS)
+        points = self.scratch.write(boundaries.deltas(fanned), "rollup_mask")
+        return Build(self.kept, points, self.scratch.write(tiers.dense_tier(fanned, points, self.policy.bucket_ms), "rollup_mask"))
+
     def total(self) -> DataFrame:
         """Boundaries of the total alone, without dimensions."""
         return boundaries.deltas(self.bare.withColumn("rollup_mask", F.lit(0)), ("rollup_mask",))
@@ -87,11 +112,11 @@ class Model:
         return boundaries.curve(self.total(), ("rollup_mask",))
 
     def tier(self, masks: tuple[int, ...] = TIER_MASKS) -> DataFrame:
-        fanned = self.fan(masks)
+        fanned = boundaries.fan_out(self.kept, masks)
         return tiers.dense_tier(fanned, boundaries.deltas(fanned), self.policy.bucket_ms)
 
     def rollup(self, masks: tuple[int, ...] = ROLLUP_MASKS) -> DataFrame:
-        return tiers.minute_rollup(self.fan(masks, "app_version", "category"), self.policy.bucket_ms)
+        return tiers.minute_rollup(boundaries.fan_out(self.kept, masks, "app_version", "category"), self.policy.bucket_ms)
 
     def day(self, back: int) -> int:
         """Midnight so many days before that of the horizon."""
@@ -314,7 +339,8 @@ def day_anchor(m: Model) -> DataFrame:
 , i AS (SELECT {KEY_SQL}, max(level) AS level FROM cv, w WHERE boundary_ms > lo AND boundary_ms < hi GROUP BY ALL)
 SELECT {KEY_SQL}, greatest(coalesce(e.level, 0), coalesce(i.level, 0)) AS peak FROM k LEFT JOIN e USING ({KEY_SQL}) LEFT JOIN i USING ({KEY_SQL}) WHERE greatest(coalesce(e.level, 0), coalesce(i.level, 0)) > 0""")
 def anchored_window_peak(m: Model) -> DataFrame:
-    points, low = m.points((0, 1)), m.day(20) + 6 * HOUR
+    low = m.day(20) + 6 * HOUR
+    points = m.scratch.write(m.points((0, 1)))
     return boundaries.window_peak(points, boundaries.day_anchors(points), low, low + 12 * HOUR).where("peak > 0")
 
 
@@ -347,12 +373,12 @@ SELECT bucket_ms, coalesce(peak, 0) AS peak, coalesce(active_ms, 0) AS active_ms
 
 @query(SESSIONS + CURVE0 + BUCKETS.format(lo=DAYS_BACK(30) + " + 1234567", hi=DAYS_BACK(26) + " + 7654321"))
 def exact_bucket_metrics(m: Model) -> DataFrame:
-    return boundaries.bucket_metrics(m.levels(), m.day(30) + 1_234_567, m.day(26) + 7_654_321, HOUR)
+    return boundaries.bucket_metrics(m.total(), m.day(30) + 1_234_567, m.day(26) + 7_654_321, HOUR)
 
 
 @query(SESSIONS + CURVE0 + ", x AS (SELECT unnest(generate_series(start_ms - start_ms % 3600000, end_ms - 1 - (end_ms - 1) % 3600000, 3600000)) AS bucket_ms, * FROM s0 WHERE level > 0) SELECT bucket_ms, max(level) AS peak, CAST(sum(level * (least(end_ms, bucket_ms + 3600000) - greatest(start_ms, bucket_ms))) AS BIGINT) AS active_ms FROM x GROUP BY bucket_ms")
 def minute_series_theta(m: Model) -> DataFrame:
-    parts = boundaries.steps(m.levels(), ("rollup_mask",)).where("level > 0")
+    parts = boundaries.steps(m.total(), ("rollup_mask",)).where("level > 0")
     return boundaries.spread(parts, HOUR).groupBy("bucket_ms").agg(F.max("level").alias("peak"), F.sum(F.col("level") * F.col("overlap_ms")).alias("active_ms"))
 
 

@@ -73,10 +73,10 @@ def kpi(rows: DataFrame, low: int, high: int) -> DataFrame:
     )
 
 
-def served_range(tier: DataFrame, levels: DataFrame, low: int, high: int, size: int, exact: bool = False) -> DataFrame:
-    """route, peak, avg_concurrency over [low, high): from the total's tier if the range is of whole buckets, else from the curve."""
+def served_range(tier: DataFrame, points: DataFrame, low: int, high: int, size: int, exact: bool = False) -> DataFrame:
+    """route, peak, avg_concurrency over [low, high): from the total's tier if the range is of whole buckets, else from the total's boundaries."""
     if exact or low % size or high % size:
-        route, rows = "exact", bucket_metrics(levels, low, high, size)
+        route, rows = "exact", bucket_metrics(points, low, high, size)
     else:
         route, rows = "tier", tier.where((F.col("bucket_ms") >= low) & (F.col("bucket_ms") < high))
     out = rows.agg(F.coalesce(F.max("peak"), F.lit(0)).alias("peak"), F.round(F.coalesce(F.sum("active_ms"), F.lit(0)) / max(high - low, 1), 6).alias("avg_concurrency"))

@@ -157,7 +157,7 @@ def paging(m: Model) -> DataFrame:
 @query(SESSIONS + CURVE0 + WEEK + ", x AS (SELECT max(level) AS peak, CAST(sum(level * (least(end_ms, hi) - greatest(start_ms, lo))) AS BIGINT) AS active_ms, any_value(hi - lo) AS len FROM s0, w WHERE start_ms < hi AND end_ms > lo) SELECT 'tier' AS route, peak, round(active_ms / len, 6) AS avg_concurrency FROM x UNION ALL SELECT 'exact', peak, round(active_ms / len, 6) FROM x")
 def served_range(m: Model) -> DataFrame:
     low, high = _week(m)
-    return router.served_range(m.tier((0,)), m.levels(), low, high, HOUR).unionByName(router.served_range(m.tier((0,)), m.levels(), low, high, HOUR, exact=True))
+    return router.served_range(m.tier((0,)), m.total(), low, high, HOUR).unionByName(router.served_range(m.tier((0,)), m.total(), low, high, HOUR, exact=True))
 
 
 @query(_tier((0,)) + " SELECT bucket_ms, peak, round(active_ms / 3600000, 6) AS avg_concurrency FROM tier ORDER BY bucket_ms DESC LIMIT 1")
@@ -274,9 +274,9 @@ def gate_conservation(m: Model) -> DataFrame:
 
 @query("SELECT g AS gate, CAST(a AS BIGINT) AS actual, true AS passed FROM (VALUES ('opens equal closes', 0), ('no level below zero', 0), ('no empty interval', 0), ('one row for each key', 0), ('only known masks', 0), ('all masks there', 9), ('time within peak', 0), ('ending within peak', 0), ('time conserved', 0), ('peaks equal the sweep', 0)) t(g, a)")
 def gate_build(m: Model) -> DataFrame:
-    fanned = m.fan()
-    points = boundaries.deltas(fanned)
-    return gates.build_gates(m.intervals, fanned, points, tiers.dense_tier(fanned, points, HOUR), TIER_MASKS, HOUR)
+    build = m.build()
+    fanned = boundaries.fan_out(build.intervals, TIER_MASKS)
+    return gates.build_gates(build.intervals, fanned, build.points, build.tier, TIER_MASKS, HOUR)
 
 
 @query(_tier((1,)) + " SELECT platform, max(peak) AS served, (SELECT max(level) FROM cv WHERE cv.platform = tier.platform) AS swept FROM tier GROUP BY platform")
