@@ -1,11 +1,10 @@
-"""Helpers shared by the operators: tables, checkpoints, Arrow text access."""
+"""Helpers shared by the operators: tables, Arrow text access."""
 
 from __future__ import annotations
 
 import os
 import shutil
 import tempfile
-import uuid
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -14,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lumentide.stored import Scratch, shared_dir  # noqa: F401
+
 #: Arrow batches handed to Python stay under this, however long the texts are.
 ARROW_BATCH_BYTES = "8m"
 
@@ -37,45 +38,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return tune(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that ``spark.checkpoint.dir`` names; where it is unset a temporary one, in local mode only, where all is one process."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not named:
-        if not spark.sparkContext.master.partition("[")[0] == "local":
-            raise RuntimeError("spark.checkpoint.dir has to name a folder that driver and executors share")
-        named = "file://" + tempfile.mkdtemp(prefix="lumentide-")
-        spark.sparkContext.setCheckpointDir(named)
-    return named.rstrip("/")
-
-
-class Scratch:
-    """Parquet tables in the shared folder that cut lineage; ``drop`` removes those that are done with.
-
-    A lost executor costs a re-read of files, not a recomputation.
-    """
-
-    def __init__(self, spark: SparkSession, label: str):
-        self.spark = spark
-        self.root = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-        self.made = 0
-
-    def write(self, df: DataFrame) -> DataFrame:
-        self.made += 1
-        path = f"{self.root}/t{self.made}"
-        df.write.option("compression", "zstd").parquet(path)
-        out = self.spark.read.schema(df.schema).parquet(path)
-        out._scratch_path = path
-        return out
-
-    def drop(self, *tables: DataFrame | None) -> None:
-        jvm = self.spark._jvm
-        conf = self.spark._jsc.hadoopConfiguration()
-        for t in tables:
-            if t is not None and getattr(t, "_scratch_path", None):
-                path = jvm.org.apache.hadoop.fs.Path(t._scratch_path)
-                path.getFileSystem(conf).delete(path, True)
-
-
 def few_enough(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     """Whether df has at most ``rows`` rows: the check that stands before each broadcast."""
     return df.limit(rows + 1).count() <= rows
