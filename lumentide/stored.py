@@ -19,6 +19,10 @@ def shared_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+#: Rows to a file of a table that is known to be small, and files that such a table has at most.
+FILE_ROWS, FILES = 1 << 17, 8
+
+
 class Scratch:
     """Parquet tables in the shared folder; ``drop`` removes those that are done with."""
 
@@ -27,8 +31,14 @@ class Scratch:
         self.root = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
         self.made = 0
 
-    def write(self, df: DataFrame, *by: str) -> DataFrame:
-        """df from files, in folders by the columns ``by``, so that filters on these read their folders only."""
+    def write(self, df: DataFrame, *by: str, rows: int | None = None) -> DataFrame:
+        """df from files, in folders by the columns ``by``, so that filters on these read their folders only.
+
+        rows: a bound of df's rows, where one is known.  A table of few rows then goes to few files rather than one a
+        task, since making, committing and opening each file costs more than its rows.
+        """
+        if rows is not None and rows <= FILE_ROWS * FILES:
+            df = df.repartition(max(1, -(-rows // FILE_ROWS)))
         self.made += 1
         path = f"{self.root}/t{self.made}"
         df.write.partitionBy(*by).option("compression", "zstd").parquet(path)
