@@ -17,29 +17,30 @@ SMALL = 16
 SIMILAR = 75
 
 
-def connected_components(edges: DataFrame, scratch: Scratch) -> DataFrame:
-    """node, component (the smallest node reachable) of every node that has an edge (a, b) to another.
+def connected_components(edges: DataFrame, scratch: Scratch, rows: int | None = None) -> DataFrame:
+    """node, component (the smallest node reachable) of every node that has an edge (a, b) to another; rows: a bound of the edges.
 
     Alternates large-star and small-star steps: each node hands its neighbours its smallest one,
     until every node points at its component's smallest.  Steps are joins and aggregations on
     nodes; each is written out, and the number of steps grows with the logarithm of the input.
     """
-    now = scratch.write(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+    now = scratch.write(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), rows=rows)
     while True:
+        rows = now.count()  # no step makes more edges, so it bounds the tables to come
         # done once no node points at two, or at one that points on
         ends = now.select(F.col("u").alias("x"), F.lit(1).alias("out"), F.lit(0).alias("into")).unionByName(now.select(F.col("v").alias("x"), F.lit(0).alias("out"), F.lit(1).alias("into")))
         open_nodes = ends.groupBy("x").agg(F.sum("out").alias("out"), F.max("into").alias("into")).where("out > 1 or out = 1 and into = 1")
         if not open_nodes.limit(1).count():
             out = now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
-            out = scratch.write(out)
+            out = scratch.write(out, rows=2 * rows)
             scratch.drop(now)
             return out
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = scratch.write(both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")))
+        large = scratch.write(both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")), rows=2 * rows)
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        after = scratch.write(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct())
+        after = scratch.write(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), rows=2 * rows)
         scratch.drop(now, large)
         now = after
 
@@ -53,10 +54,10 @@ def merged(parts: DataFrame, edges: DataFrame, scratch: Scratch) -> DataFrame:
     for side in ("a", "b"):
         home = parts.select(F.col("node").alias(side), F.col("component").alias("home"))
         ends = ends.join(home, side, "left").withColumn(side, F.coalesce("home", side)).drop("home")
-    moves = connected_components(ends, scratch).select(F.col("node").alias("component"), F.col("component").alias("to"))
+    moves = connected_components(ends, scratch, edges.count()).select(F.col("node").alias("component"), F.col("component").alias("to"))
     old = parts.join(moves, "component", "left").select("node", F.coalesce("to", "component").alias("component"))
     fresh = moves.select(F.col("component").alias("node"), F.col("to").alias("component")).join(parts, "node", "left_anti")
-    out = scratch.write(old.unionByName(fresh))
+    out = scratch.write(old.unionByName(fresh), rows=parts.count() + moves.count())
     scratch.drop(moves, parts, edges)
     return out
 
@@ -174,28 +175,29 @@ def linked_components(rows: DataFrame, load: Callable[[DataFrame], DataFrame], c
     made = scratch.write(bucket_pairs(rows, small, similar))
     once = scratch.write(load(made.select(F.explode(F.array("a", "b")).alias("node")).where("node is not null").distinct())) if sift is None else None
 
-    def linked(pairs: DataFrame) -> DataFrame:
-        pairs = scratch.write(pairs.distinct() if sift is None else sift(pairs.distinct()))
+    def linked(pairs: DataFrame, most: int | None = None) -> DataFrame:
+        pairs = scratch.write(pairs.distinct() if sift is None else sift(pairs.distinct()), rows=most)
         loaded = once if sift is None else scratch.write(load(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()))
-        found = scratch.write(check(pairs, loaded))
+        found = scratch.write(check(pairs, loaded), rows=pairs.count())
         scratch.drop(pairs, None if sift is None else loaded)
         return found
 
     def members() -> DataFrame:
         return made.where("key is not null").select("key", F.col("b").alias("node"), "size", "pos").distinct()
 
-    found = linked(made.where("a is not null").select("a", "b"))
-    parts = connected_components(found if known is None else found.unionByName(known), scratch)
+    found = linked(made.where("a is not null").select("a", "b"), made.count())
+    edges = found if known is None else found.unionByName(known)
+    parts = connected_components(edges, scratch, edges.count())
     scratch.drop(found)
-    mixed = _mixed_keys(members(), parts, scratch)
+    mixed = _mixed_keys(members(), parts, scratch, made.count())
     if mixed is not None and finer is not None:
         hot = mixed.select("node").distinct()
         hot = scratch.write(load(hot) if sift else once.join(hot, "node", "left_semi"))
         scratch.drop(made, mixed)
         made = scratch.write(bucket_pairs(finer(hot), small, similar))
-        parts = merged(parts, linked(_in_two(made.where("a is not null").select("a", "b").distinct(), parts)), scratch)
+        parts = merged(parts, linked(_in_two(made.where("a is not null").select("a", "b").distinct(), parts), made.count()), scratch)
         scratch.drop(hot)
-        mixed = _mixed_keys(members(), parts, scratch)
+        mixed = _mixed_keys(members(), parts, scratch, made.count())
     if mixed is not None:
         a = mixed.where("component <> main").select("key", *(F.col(c).alias(f"a_{c}") for c in ("node", "size", "pos", "component")))
         b = mixed.select("key", *(F.col(c).alias(f"b_{c}") for c in ("node", "size", "pos", "component")))
@@ -206,16 +208,16 @@ def linked_components(rows: DataFrame, load: Callable[[DataFrame], DataFrame], c
     return parts
 
 
-def _mixed_keys(members: DataFrame, parts: DataFrame, scratch: Scratch) -> DataFrame | None:
-    """members (key, node, size, pos) of the keys that are in several components, with component and the key's main one; None if there are none."""
+def _mixed_keys(members: DataFrame, parts: DataFrame, scratch: Scratch, rows: int) -> DataFrame | None:
+    """members (key, node, size, pos) of the keys that are in several components, with component and the key's main one; None if there are none.  rows: a bound of the members."""
     placed = members.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
     sizes = placed.groupBy("key", "component").agg(F.count("*").alias("c"))
     # the largest, ties to the least component: longs only, so it is aggregated by hash
     most = sizes.groupBy("key").agg(F.max("c").alias("most"), F.count("*").alias("parts")).where("parts > 1").select("key", "most")
-    mains = scratch.write(sizes.join(most, "key").where("c = most").groupBy("key").agg(F.min("component").alias("main")))
+    mains = scratch.write(sizes.join(most, "key").where("c = most").groupBy("key").agg(F.min("component").alias("main")), rows=rows)
     if not mains.limit(1).count():
         scratch.drop(mains)
         return None
-    out = scratch.write(placed.join(F.broadcast(mains) if few_enough(mains) else mains, "key"))
+    out = scratch.write(placed.join(F.broadcast(mains) if few_enough(mains) else mains, "key"), rows=rows)
     scratch.drop(mains)
     return out
