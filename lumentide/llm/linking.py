@@ -79,12 +79,13 @@ def may_link_column(a: str, b: str, similar: int = SIMILAR) -> Column:
 
 
 def bucket_pairs(rows: DataFrame, small: int = SMALL, similar: int = SIMILAR) -> DataFrame:
-    """Pairs a < b of nodes that share a key, and the members of large keys.
+    """Pairs (a, b) of nodes that share a key, and the members of large keys.
 
     rows: key, node and, where pairs are to be filtered, size (of the node's set) and pos (of the key in it), all long.
-    Of a key with up to ``small`` nodes all pairs that may link.  Of a larger one a row for each node b but the
-    smallest, the pivot, with its key, size and pos, and a the pivot, or null where the two can't link.  The sorted
-    rows stream past, so memory does not depend on the size of a group.
+    Of a key with up to ``small`` nodes all pairs that may link.  Of a larger one a row for each node b but one, the
+    pivot, with its key, size and pos, and a the pivot, or null where the two can't link.  Rows are sorted by key
+    alone, which a radix sort does; those that share a key are put in order here.  They stream past, so memory does
+    not depend on the size of a group.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -98,6 +99,21 @@ def bucket_pairs(rows: DataFrame, small: int = SMALL, similar: int = SIMILAR) ->
             a = pa.array(np.broadcast_to(first[1], len(node))[keep], mask=~ok[keep])
             return pa.RecordBatch.from_arrays([pa.array(key[keep]), a, *(pa.array(c[keep]) for c in (node, size, pos))], names=["key", "a", "b", "size", "pos"])
 
+        def ordered(cols):
+            key = cols[0]
+            same = key[1:] == key[:-1]
+            shared = np.flatnonzero(np.r_[same, False] | np.r_[False, same])
+            if not len(shared):
+                return cols
+            order = shared[np.lexsort([c[shared] for c in reversed(cols)])]
+            keep = np.ones(len(key), bool)
+            keep[shared[1:]] = ~np.logical_and.reduce([c[order[1:]] == c[order[:-1]] for c in cols])
+            for i, c in enumerate(cols):
+                c = c.copy()
+                c[shared] = c[order]
+                cols[i] = c[keep]
+            return cols
+
         def flush(cols):
             key = cols[0]
             if len(key) < 2:
@@ -133,11 +149,9 @@ def bucket_pairs(rows: DataFrame, small: int = SMALL, similar: int = SIMILAR) ->
                 if end == len(cols[0]):
                     continue
                 cols, pivot = [c[end:] for c in cols], None
-            cols = [np.r_[h, c] for h, c in zip(held, cols, strict=True)]
+            cols = ordered([np.r_[h, c] for h, c in zip(held, cols, strict=True)])
             if not len(cols[0]):
                 continue
-            again = np.logical_and.reduce([c[1:] == c[:-1] for c in cols])
-            cols = [c[np.r_[True, ~again]] for c in cols]
             begin = int(np.searchsorted(cols[0], cols[0][-1], "left"))
             if len(cols[0]) - begin > small:
                 pivot = [c[begin] for c in cols]
@@ -148,7 +162,7 @@ def bucket_pairs(rows: DataFrame, small: int = SMALL, similar: int = SIMILAR) ->
 
     names = [c for c in ("key", "node", "size", "pos") if c in rows.columns]
     rows = rows.select(*(F.col(c).cast("long").alias(c) for c in names))
-    return rows.repartition("key").sortWithinPartitions(*names).mapInArrow(run, "key long, a long, b long, size long, pos long")
+    return rows.repartition("key").sortWithinPartitions("key").mapInArrow(run, "key long, a long, b long, size long, pos long")
 
 
 def _in_two(pairs: DataFrame, parts: DataFrame) -> DataFrame:
@@ -176,6 +190,7 @@ def linked_components(rows: DataFrame, load: Callable[[DataFrame], DataFrame], c
     once = scratch.write(load(made.select(F.explode(F.array("a", "b")).alias("node")).where("node is not null").distinct())) if sift is None else None
 
     def linked(pairs: DataFrame, most: int | None = None) -> DataFrame:
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         pairs = scratch.write(pairs.distinct() if sift is None else sift(pairs.distinct()), rows=most)
         loaded = once if sift is None else scratch.write(load(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()))
         found = scratch.write(check(pairs, loaded), rows=pairs.count())
