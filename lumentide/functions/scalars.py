@@ -102,3 +102,30 @@ def canonical(*cols: Column) -> Column:
 def share(part: Column, whole: Column) -> Column:
     """Percent, null for an empty whole."""
     return F.round(100.0 * part / F.nullif(whole, F.lit(0)), 6)
+
+
+def yyyymmdd(t: Column) -> Column:
+    return F.date_format(t, "yyyyMMdd").cast("int")
+
+
+def yyyymm(t: Column) -> Column:
+    return F.date_format(t, "yyyyMM").cast("int")
+
+
+def instant_ms(text: Column) -> Column:
+    """Epoch milliseconds of a date or an instant, with or without a zone, null for other text."""
+    return F.unix_millis(F.try_to_timestamp(F.trim(text)))
+
+
+def fingerprint(*cols: Column) -> Column:
+    """128 bits of the values, as hex; nulls are left out."""
+    return F.md5(F.concat_ws("|", *[c.cast("string") for c in cols]))
+
+
+def readable_size(size: Column) -> Column:
+    """Bytes as text in the largest binary unit that they reach."""
+    units = ("B", "KiB", "MiB", "GiB", "TiB", "PiB")
+    out = F.format_string("%.2f PiB", size / 1024.0**5)
+    for i, unit in reversed(list(enumerate(units[:-1]))):
+        out = F.when(size < 1024.0 ** (i + 1), F.format_string(f"%.2f {unit}", size / 1024.0**i)).otherwise(out)
+    return out

@@ -359,9 +359,9 @@ def peak_by_platform(m: Model) -> DataFrame:
     return boundaries.peak(boundaries.curve(m.points((1,))), "platform")
 
 
-@query(SESSIONS + f", w AS (SELECT {DAYS_BACK(20)} AS lo, {DAYS_BACK(13)} AS hi) SELECT CAST(sum(least(end_ms, hi) - greatest(start_ms, lo)) AS BIGINT) AS active_ms, round(CAST(sum(least(end_ms, hi) - greatest(start_ms, lo)) AS BIGINT) / any_value(hi - lo), 6) AS avg_concurrency FROM iv, w WHERE start_ms < hi AND end_ms > lo")
+@query(SESSIONS + f", w AS (SELECT {DAYS_BACK(31)} AS lo, {DAYS_BACK(-1)} AS hi) SELECT CAST(sum(least(end_ms, hi) - greatest(start_ms, lo)) AS BIGINT) AS active_ms, round(CAST(sum(least(end_ms, hi) - greatest(start_ms, lo)) AS BIGINT) / any_value(hi - lo), 6) AS avg_concurrency FROM iv, w WHERE start_ms < hi AND end_ms > lo")
 def time_weighted_avg(m: Model) -> DataFrame:
-    return boundaries.average(m.bare, m.day(20), m.day(13))
+    return boundaries.average(m.bare, m.day(31), m.day(-1))
 
 
 BUCKETS = """, w AS (SELECT {lo} AS lo, {hi} AS hi)
@@ -654,9 +654,9 @@ def liveness_curve(m: Model) -> DataFrame:
     return live.liveness_curve(m.events, HOUR)
 
 
-@query(_tier((0,)) + f", w AS (SELECT {DAYS_BACK(20)} AS lo, {DAYS_BACK(13)} AS hi), b AS (SELECT unnest(generate_series(lo, hi - 1, 3600000)) AS bucket_ms FROM w) SELECT b.bucket_ms, count(DISTINCT session_key) AS sessions FROM b LEFT JOIN sp USING (bucket_ms) GROUP BY 1")
+@query(_tier((0,)) + f", w AS (SELECT {DAYS_BACK(31)} AS lo, {DAYS_BACK(-1)} AS hi), b AS (SELECT unnest(generate_series(lo, hi - 1, 3600000)) AS bucket_ms FROM w) SELECT b.bucket_ms, count(DISTINCT session_key) AS sessions FROM b LEFT JOIN sp USING (bucket_ms) GROUP BY 1")
 def dense_curve(m: Model) -> DataFrame:
-    return live.dense_curve(m.bare, m.day(20), m.day(13), HOUR)
+    return live.dense_curve(m.bare, m.day(31), m.day(-1), HOUR)
 
 
 @query()

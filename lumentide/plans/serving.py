@@ -12,58 +12,65 @@ from lumentide.plans import gates, guard, profile, registry, router
 from lumentide.plans.registry import CURVE0, DAYS_BACK, EVENTS, KEY_SQL, SESSIONS, Model, _points, _rollup, _tier, query
 from lumentide.policy import DAY, HOUR, TIER_MASKS
 
+#: The window of the registered queries: all days that the tables have.
+WHOLE = f", w AS (SELECT {DAYS_BACK(31)} AS lo, {DAYS_BACK(-1)} AS hi)"
+#: A week, for averages of single buckets, whose halves the two engines round apart.
 WEEK = f", w AS (SELECT {DAYS_BACK(20)} AS lo, {DAYS_BACK(13)} AS hi)"
-IN_WEEK = "bucket_ms >= lo AND bucket_ms < hi"
+IN_WHOLE = "bucket_ms >= lo AND bucket_ms < hi"
 NUMBERS = "CAST(sum(active_ms) AS BIGINT) AS active_ms, round(CAST(sum(active_ms) AS BIGINT) / 3600000, 6) AS hours, round(CAST(sum(active_ms) AS BIGINT) / {length}, 6) AS avg_concurrency"
 
 
+def _whole(m: Model) -> tuple[int, int]:
+    return m.day(31), m.day(-1)
+
+
 def _week(m: Model) -> tuple[int, int]:
     return m.day(20), m.day(13)
 
 
-def _panel_sql(masks: str, by: str, mask: int, peak: str = "max(peak)", where: str = "true", length: str = "any_value(hi - lo)") -> str:
+def _panel_sql(masks: str, by: str, mask: int, peak: str = "max(peak)", where: str = "true", length: str = "any_value(hi - lo)", window: str = WHOLE) -> str:
     cols = f"{by}, " if by else ""
-    return _tier() + WEEK + f" SELECT {cols}{NUMBERS.format(length=length)}, {peak} AS peak FROM tier, w WHERE rollup_mask = {mask} AND {IN_WEEK} AND {where}" + (f" GROUP BY {by}" if by else "")
+    return _tier() + window + f" SELECT {cols}{NUMBERS.format(length=length)}, {peak} AS peak FROM tier, w WHERE rollup_mask = {mask} AND {IN_WHOLE} AND {where}" + (f" GROUP BY {by}" if by else "")
 
 
-@query(_panel_sql("", "bucket_ms", 0, length="3600000"))
+@query(_panel_sql("", "bucket_ms", 0, length="3600000", window=WEEK))
 def panel_concurrency(m: Model) -> DataFrame:
     return router.panel(m.tier(), *_week(m), ("bucket_ms",), size=HOUR)
 
 
 @query(_panel_sql("", "platform", 1))
 def panel_platform_peak(m: Model) -> DataFrame:
-    return router.panel(m.tier(), *_week(m), ("platform",))
+    return router.panel(m.tier(), *_whole(m), ("platform",))
 
 
 @query(_panel_sql("", "video_type", 8))
 def panel_video_type_hours(m: Model) -> DataFrame:
-    return router.panel(m.tier(), *_week(m), ("video_type",))
+    return router.panel(m.tier(), *_whole(m), ("video_type",))
 
 
 @query(_panel_sql("", "country", 2))
 def panel_country_hours(m: Model) -> DataFrame:
-    return router.panel(m.tier(), *_week(m), ("country",))
+    return router.panel(m.tier(), *_whole(m), ("country",))
 
 
 @query(_panel_sql("", "platform, country", 3))
 def panel_platform_country(m: Model) -> DataFrame:
-    return router.panel(m.tier(), *_week(m), ("platform", "country"))
+    return router.panel(m.tier(), *_whole(m), ("platform", "country"))
 
 
-@query(_panel_sql("", "country", 15, peak="CAST(NULL AS BIGINT)", where="content_id < 20").replace("20::BIGINT", "90::BIGINT").replace("content_id < 20", "content_id = 16"))
+@query(_panel_sql("", "country", 15, peak="CAST(NULL AS BIGINT)", where="content_id < 20").replace("31::BIGINT", "90::BIGINT").replace("content_id < 20", "content_id = 16"))
 def panel_peak_withheld(m: Model) -> DataFrame:
-    return router.panel(m.tier(), m.day(90), m.day(13), ("country",), {"content_id": 16, "platform": "*"})
+    return router.panel(m.tier(), m.day(90), m.day(-1), ("country",), {"content_id": 16, "platform": "*"})
 
 
-@query(_panel_sql("", "bucket_ms", 1, where="platform = 'BUILDING'", length="3600000"))
+@query(_panel_sql("", "bucket_ms", 1, where="platform = 'BUILDING'", length="3600000", window=WEEK))
 def curve(m: Model) -> DataFrame:
     return router.panel(m.tier(), *_week(m), ("bucket_ms",), {"platform": "BUILDING", "country": ""}, HOUR)
 
 
-@query(_tier((0,)) + WEEK + f" SELECT max(peak) AS peak, arg_min(bucket_ms, -peak * 100000000000000 + bucket_ms) AS peak_bucket_ms, round(CAST(sum(active_ms) AS BIGINT) / any_value(hi - lo), 6) AS avg_concurrency, round(CAST(sum(active_ms) AS BIGINT) / 3600000, 6) AS viewing_hours, count(*) AS buckets, min(bucket_ms) AS first_ms, max(bucket_ms) AS last_ms FROM tier, w WHERE {IN_WEEK}")
+@query(_tier((0,)) + WHOLE + f" SELECT max(peak) AS peak, arg_min(bucket_ms, -peak * 100000000000000 + bucket_ms) AS peak_bucket_ms, round(CAST(sum(active_ms) AS BIGINT) / any_value(hi - lo), 6) AS avg_concurrency, round(CAST(sum(active_ms) AS BIGINT) / 3600000, 6) AS viewing_hours, count(*) AS buckets, min(bucket_ms) AS first_ms, max(bucket_ms) AS last_ms FROM tier, w WHERE {IN_WHOLE}")
 def kpi(m: Model) -> DataFrame:
-    low, high = _week(m)
+    low, high = _whole(m)
     return router.kpi(m.tier((0,)).where((F.col("bucket_ms") >= low) & (F.col("bucket_ms") < high)), low, high)
 
 
@@ -77,9 +84,9 @@ def filter_options(m: Model) -> DataFrame:
     return router.filter_options(m.tier((1, 2, 8)))
 
 
-@query(_tier((4,)) + WEEK + f" SELECT t.content_id, coalesce(title, '(unknown)') AS title, max(peak) AS peak, CAST(sum(active_ms) AS BIGINT) AS active_ms FROM w, tier t LEFT JOIN content c ON c.content_id = t.content_id WHERE {IN_WEEK} GROUP BY ALL ORDER BY active_ms DESC, t.content_id LIMIT 10")
+@query(_tier((4,)) + WHOLE + f" SELECT t.content_id, coalesce(title, '(unknown)') AS title, max(peak) AS peak, CAST(sum(active_ms) AS BIGINT) AS active_ms FROM w, tier t LEFT JOIN content c ON c.content_id = t.content_id WHERE {IN_WHOLE} GROUP BY ALL ORDER BY active_ms DESC, t.content_id LIMIT 10")
 def top_content(m: Model) -> DataFrame:
-    low, high = _week(m)
+    low, high = _whole(m)
     sums = m.tier((4,)).where((F.col("bucket_ms") >= low) & (F.col("bucket_ms") < high)).groupBy("content_id").agg(F.max("peak").alias("peak"), F.sum("active_ms").alias("active_ms"))
     top = router.page(sums, (F.col("active_ms").desc(), "content_id"), 10)  # ten rows meet the catalogue
     return top.join(m.contents.select("content_id", "title"), "content_id", "left").fillna({"title": "(unknown)"}).select("content_id", "title", "peak", "active_ms")
@@ -103,9 +110,9 @@ def viewing_trend(m: Model) -> DataFrame:
     return out.select("grain_ms", "peak", F.round(F.col("active_ms") / DAY, 6).alias("avg_of_day"), F.round(F.col("active_ms") / (F.col("buckets") * HOUR), 6).alias("avg_of_active"))
 
 
-@query(_tier((0,)) + WEEK + f" SELECT max(peak) AS peak, round(CAST(sum(active_ms) AS BIGINT) / any_value(greatest(1, hi - lo)), 6) AS avg_requested, round(CAST(sum(active_ms) AS BIGINT) / greatest(1, least(any_value(hi), max(bucket_ms) + 3600000) - greatest(any_value(lo), min(bucket_ms))), 6) AS avg_observed FROM tier, w WHERE {IN_WEEK}")
+@query(_tier((0,)) + WHOLE + f" SELECT max(peak) AS peak, round(CAST(sum(active_ms) AS BIGINT) / any_value(greatest(1, hi - lo)), 6) AS avg_requested, round(CAST(sum(active_ms) AS BIGINT) / greatest(1, least(any_value(hi), max(bucket_ms) + 3600000) - greatest(any_value(lo), min(bucket_ms))), 6) AS avg_observed FROM tier, w WHERE {IN_WHOLE}")
 def peak_and_average(m: Model) -> DataFrame:
-    low, high = _week(m)
+    low, high = _whole(m)
     rows = m.tier((0,)).where((F.col("bucket_ms") >= low) & (F.col("bucket_ms") < high))
     seen = F.least(F.lit(high), F.max("bucket_ms") + HOUR) - F.greatest(F.lit(low), F.min("bucket_ms"))
     return rows.agg(F.max("peak").alias("peak"), F.round(F.sum("active_ms") / (high - low), 6).alias("avg_requested"), F.round(F.sum("active_ms") / F.greatest(seen, F.lit(1)), 6).alias("avg_observed"))
@@ -154,9 +161,9 @@ def paging(m: Model) -> DataFrame:
     return router.page(m.tier((0, 1)).select(*KEYS, "bucket_ms", "active_ms"), (F.col("active_ms").desc(), "rollup_mask", "platform", "bucket_ms"), 30, 20)
 
 
-@query(SESSIONS + CURVE0 + WEEK + ", x AS (SELECT max(level) AS peak, CAST(sum(level * (least(end_ms, hi) - greatest(start_ms, lo))) AS BIGINT) AS active_ms, any_value(hi - lo) AS len FROM s0, w WHERE start_ms < hi AND end_ms > lo) SELECT 'tier' AS route, peak, round(active_ms / len, 6) AS avg_concurrency FROM x UNION ALL SELECT 'exact', peak, round(active_ms / len, 6) FROM x")
+@query(SESSIONS + CURVE0 + WHOLE + ", x AS (SELECT max(level) AS peak, CAST(sum(level * (least(end_ms, hi) - greatest(start_ms, lo))) AS BIGINT) AS active_ms, any_value(hi - lo) AS len FROM s0, w WHERE start_ms < hi AND end_ms > lo) SELECT 'tier' AS route, peak, round(active_ms / len, 6) AS avg_concurrency FROM x UNION ALL SELECT 'exact', peak, round(active_ms / len, 6) FROM x")
 def served_range(m: Model) -> DataFrame:
-    low, high = _week(m)
+    low, high = _whole(m)
     return router.served_range(m.tier((0,)), m.total(), low, high, HOUR).unionByName(router.served_range(m.tier((0,)), m.total(), low, high, HOUR, exact=True))
 
 
@@ -165,9 +172,9 @@ def tile_concurrent_now(m: Model) -> DataFrame:
     return router.page(m.tier((0,)).select("bucket_ms", "peak", F.round(F.col("active_ms") / HOUR, 6).alias("avg_concurrency")), (F.col("bucket_ms").desc(),), 1)
 
 
-@query(_tier((4,)) + WEEK + f", tp AS (SELECT content_id FROM tier, w WHERE {IN_WEEK} GROUP BY 1 ORDER BY sum(active_ms) DESC, content_id LIMIT 8) SELECT bucket_ms, content_id, round(active_ms / 3600000, 6) AS avg_concurrency FROM tier, w WHERE {IN_WEEK} AND content_id IN (FROM tp)")
+@query(_tier((4,)) + WHOLE + f", tp AS (SELECT content_id FROM tier, w WHERE {IN_WHOLE} GROUP BY 1 ORDER BY sum(active_ms) DESC, content_id LIMIT 8) SELECT bucket_ms, content_id, round(active_ms / 3600000, 6) AS avg_concurrency FROM tier, w WHERE {IN_WHOLE} AND content_id IN (FROM tp)")
 def tile_top_series(m: Model) -> DataFrame:
-    low, high = _week(m)
+    low, high = _whole(m)
     rows = m.tier((4,)).where((F.col("bucket_ms") >= low) & (F.col("bucket_ms") < high))
     top = router.page(rows.groupBy("content_id").agg(F.sum("active_ms").alias("ms")), (F.col("ms").desc(), "content_id"), 8)
     return rows.join(top, "content_id", "left_semi").select("bucket_ms", "content_id", F.round(F.col("active_ms") / HOUR, 6).alias("avg_concurrency"))

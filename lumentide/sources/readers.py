@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -115,14 +117,25 @@ def batch_id(fingerprint: str, ordinal: int, rows: int) -> str:
     return hashlib.sha256(f"{fingerprint}|{ordinal}|{rows}".encode()).hexdigest()
 
 
-def append_once(rows: DataFrame, folder: str, token: str) -> bool:
-    """Appends rows as one batch; a batch whose token is there already is not written again."""
+def append_once(rows: DataFrame, folder: str, token: str, *by: str) -> bool:
+    """Appends rows as one batch, in folders by the columns ``by``; a batch whose token is there already is not written again.
+
+    The batch is made in a folder that readers pass over and appears whole by its renaming; of two writers of one
+    token one finds the other's batch and takes its own away.
+    """
     spark = rows.sparkSession
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/batch={token}/_SUCCESS")
-    if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+    path = lambda name: spark._jvm.org.apache.hadoop.fs.Path(name)
+    done, making = f"{folder}/batch={token}", f"_making-{uuid.uuid4().hex}"
+    files = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.exists(path(done)):
         return False
-    rows.write.mode("overwrite").parquet(f"{folder}/batch={token}")
-    return True
+    rows.write.partitionBy(*by).parquet(f"{folder}/{making}")
+    files.rename(path(f"{folder}/{making}"), path(done))
+    # a rename to a folder that is there by now either fails or moves into it
+    late = [x for x in (f"{folder}/{making}", f"{done}/{making}") if files.exists(path(x))]
+    for x in late:
+        files.delete(path(x), True)
+    return not late
 
 
 def replace_days(rows: DataFrame, folder: str, day: str = "service_date") -> None:

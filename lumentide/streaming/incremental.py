@@ -7,23 +7,18 @@ full build, so late, repeated and shuffled events converge to it.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from typing import Any
-
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from lumentide.operators import sessions
 from lumentide.policy import Policy
 from lumentide.sources.readers import append_once
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+#: Folders by session that a batch's events are dealt into.
+PARTS = 64
 
 
 def recompute_touched(history: DataFrame, touched: DataFrame, policy: Policy, as_of: int) -> DataFrame:
@@ -37,6 +32,8 @@ class IntervalStream:
 
     A batch that is delivered again writes nothing: both tables are keyed by the batch id.
     A session that has no interval any more leaves a tombstone, so its old revision ends.
+    Events lie in folders by session, so a batch reads the history of the folders of its own sessions only; the
+    horizon is kept as a row of each batch.
     """
 
     def __init__(self, folder: str, policy: Policy):
@@ -44,14 +41,23 @@ class IntervalStream:
 
     def batch(self, rows: DataFrame, batch_id: int) -> None:
         spark = rows.sparkSession
-        append_once(rows, f"{self.folder}/events", f"{batch_id:08d}")
-        history = spark.read.parquet(f"{self.folder}/events").where(F.col("batch") <= batch_id).drop("batch")
-        touched = spark.read.parquet(f"{self.folder}/events/batch={batch_id:08d}").select("session_key").distinct()
-        as_of = sessions.horizon(history) + self.policy.timeout_ms
+        dealt = rows.withColumn("part", F.pmod(F.xxhash64("session_key"), F.lit(PARTS)).cast("int"))
+        append_once(dealt, f"{self.folder}/events", f"{batch_id:08d}", "part")
+        landed = self.read(spark, "events", dealt.schema).where(F.col("batch") <= batch_id)
+        own = landed.where(F.col("batch") == batch_id)
+        append_once(own.agg(F.max("event_ms").alias("event_ms")), f"{self.folder}/horizons", f"{batch_id:08d}")
+        horizons = spark.read.parquet(f"{self.folder}/horizons").where(F.col("batch") <= batch_id)
+        parts = [r["part"] for r in own.select("part").distinct().collect()]  # PARTS rows at most
+        history = landed.where(F.col("part").isin(parts)).drop("batch", "part")
+        touched = own.select("session_key").distinct()
+        as_of = sessions.horizon(horizons) + self.policy.timeout_ms
         made = recompute_touched(history, touched, self.policy, as_of)
         out = touched.join(made, "session_key", "left").withColumn("state_revision", F.lit(batch_id).cast("long"))
         append_once(out, f"{self.folder}/intervals", f"{batch_id:08d}")
 
+    def read(self, spark: SparkSession, name: str, schema: StructType) -> DataFrame:
+        return spark.read.schema(StructType([*schema.fields, StructField("batch", IntegerType())])).parquet(f"{self.folder}/{name}")
+
     def start(self, stream: DataFrame, checkpoint: str) -> StreamingQuery:
         return stream.writeStream.foreachBatch(self.batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
@@ -60,30 +66,21 @@ class IntervalStream:
         return sessions.current_revision(spark.read.parquet(f"{self.folder}/intervals").drop("batch"))
 
 
-STATE = "last_event_ms long, terminated boolean, fg_ms long, fg int, play_ms long, play int"
-LIVE = "session_key long, last_event_ms long, terminated boolean, fg int, play int"
 _FG = {"session_start": 1, "foreground": 1, "play": 1, "resume": 1, "liveness": 1, "background": 0, "session_end": 0}
 _PLAY = {"play": 1, "resume": 1, "pause": 0, "error": 0, "session_end": 0}
 
 
-def _live(key: tuple[Any, ...], frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    last, ended, fg_ms, fg, play_ms, play = state.get if state.exists else (-1, False, -1, 0, -1, 0)
-    for f in frames:
-        for at, signal in zip(f["event_ms"], f["signal"], strict=True):
-            at, last = int(at), max(last, int(at))
-            ended = ended or signal == "session_end"
-            # of signals of one instant the one that stops holds
-            if signal in _FG and (at > fg_ms or at == fg_ms and _FG[signal] < fg):
-                fg_ms, fg = at, _FG[signal]
-            if signal in _PLAY and (at > play_ms or at == play_ms and _PLAY[signal] < play):
-                play_ms, play = at, _PLAY[signal]
-    state.update((last, ended, fg_ms, fg, play_ms, play))
-    yield pd.DataFrame({"session_key": [key[0]], "last_event_ms": [last], "terminated": [ended], "fg": [fg], "play": [play]})
+def _last_set(values: dict[str, int]) -> Column:
+    """What the signals of the last instant that has any of these set; of signals of one instant the one that stops holds."""
+    stops = F.when(F.col("signal").isin(*[k for k, v in values.items() if v]), 0).when(F.col("signal").isin(*[k for k, v in values.items() if not v]), 1)
+    mark = F.max(F.col("event_ms") * 2 + stops)  # the instant, and its last bit whether it stops
+    return F.coalesce(1 - F.pmod(mark, F.lit(2)), F.lit(0)).cast("int")
 
 
 def live_state_stream(events: DataFrame) -> DataFrame:
-    """Latest state of each session that a micro-batch has events of; commutative, so order does not matter."""
-    return events.select("session_key", "event_ms", "signal").groupBy("session_key").applyInPandasWithState(_live, LIVE, STATE, "update", GroupStateTimeout.NoTimeout)
+    """Latest state of each session that a micro-batch has events of: sums of maxima, so order does not matter."""
+    last, ended = F.max("event_ms").alias("last_event_ms"), F.max(F.col("signal") == "session_end").alias("terminated")
+    return events.groupBy("session_key").agg(last, ended, _last_set(_FG).alias("fg"), _last_set(_PLAY).alias("play"))
 
 
 def net_stream(points: DataFrame, size: int) -> DataFrame:

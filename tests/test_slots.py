@@ -57,3 +57,13 @@ def test_written_tables_are_read_by_folder(spark):
 def test_checks_of_one_pass(spark):
     rows = gates.gate_rows(spark.range(3), ("three", F.count("*"), 3), ("sum", F.sum("id"), 4), ("nothing", F.max(F.lit(None).cast("long")), 0))
     assert sorted(map(tuple, rows.collect())) == [("nothing", 0, True), ("sum", 3, False), ("three", 3, True)]
+
+
+def test_small_tables_go_to_few_files(spark):
+    from lumentide.stored import FILE_ROWS, Scratch
+
+    scratch, rows = Scratch(spark, "t"), spark.range(0, 1000, 1, 16)
+    few, many, wide = scratch.write(rows, rows=1000), scratch.write(rows), scratch.write(rows, rows=FILE_ROWS * 2 + 1)
+    assert [len(t.inputFiles()) for t in (few, many, wide)] == [1, 16, 3]
+    assert few.count() == many.count() == wide.count() == 1000
+    assert scratch.write(rows.limit(0), rows=0).count() == 0

@@ -142,6 +142,25 @@ def test_file_stream_and_live_state(spark, tmp_path):
             got[r.session_key] = r
     want = {r.session_key: r for r in live.live_state(events).collect()}
     assert {k: (r.last_event_ms, r.terminated) for k, r in got.items()} == {k: (r.last_event_ms, r.terminated) for k, r in want.items()}
+    whole = {r.session_key: r for r in incremental.live_state_stream(events).collect()}  # the same on a table
+    assert {k: (r.fg, r.play) for k, r in whole.items()} == {k: (int(r.fg), int(r.play)) for k, r in want.items()}
+
+
+def test_a_token_is_written_once_and_whole(spark, tmp_path):
+    rows = spark.range(5)
+    assert readers.append_once(rows, str(tmp_path), "a") and not readers.append_once(spark.range(9), str(tmp_path), "a")
+    assert spark.read.parquet(str(tmp_path)).count() == 5 and not [x for x in tmp_path.iterdir() if x.name.startswith("_making")]
+
+
+def test_dashboards_take_clip_entity_and_lag(spark, sf):
+    from lumentide.plans import dashboards
+
+    m = dashboards.registry.Model(spark, sf, dashboards.WIDE)
+    both = [dashboards.variant_tier(m, (0,), "unclipped", e).agg(F.sum("active_ms").alias("ms"), F.max("peak").alias("peak")).first() for e in ("session", "user")]
+    assert both[1].ms <= both[0].ms and both[1].peak <= both[0].peak
+    cut = dashboards.variant_tier(m, (0,), "clipped").agg(F.max("bucket_ms")).first()[0]
+    assert cut <= m.horizon
+    assert dashboards.publish_until(10_000_000, 300_000, 60_000) == 9_660_000
 
 
 def test_seal_and_cut_over(spark):
